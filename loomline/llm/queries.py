@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, packing, token_counts, url_filters
+from . import language_id, packing, pii, quality_rules, token_counts, url_filters
 from ._common import remove, shared_dir
 
 
@@ -22,6 +22,49 @@ HOST_RULES = (
 )
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = pii.detect(docs)
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter("spans", lambda s, kind=kind: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    added = F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added")
+    return found.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"), added)
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = quality_rules.judge(docs, sample=quality_rules.planning_sample(docs))
+    figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return out.select(F.col("doc_id").cast("long").alias("doc_id"), *figures)
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+g AS (SELECT r, unnest(range(1, greatest(len(words) - 1, 1))) AS i, words FROM w WHERE len(words) >= 3),
+n AS (SELECT r, i, count(*) OVER (PARTITION BY r, words[i], words[i + 1], words[i + 2]) AS c FROM g),
+x AS (SELECT r, count(DISTINCT k) AS n_repeat_words FROM (SELECT r, unnest([i, i + 1, i + 2]) AS k FROM n WHERE c > 1) GROUP BY r),
+f AS (SELECT doc_id, t, words, lines, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+        length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words FROM w LEFT JOIN x USING (r)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
+SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+    CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+    NOT (base_failed
+        OR NOT (word_chars / greatest(n_words, 1) BETWEEN 2 AND 15)
+        OR n_symbols > 0.25 * n_words
+        OR n_dup_lines > 0.5 * len(lines)
+        OR (length(t) - length(regexp_replace(t, '\p{L}', '', 'g'))) / greatest(length(t), 1) < 0.5
+        OR (length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g'))) / greatest(length(t), 1) > 0.5
+        OR len(list_filter(words, lambda x: regexp_matches(x, '\p{L}'))) / greatest(len(words), 1) < 0.6
+        OR len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) / greatest(len(lines), 1) > 0.5
+        OR len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[•*‣-][\x20\x09]'))) / greatest(len(lines), 1) > 0.9) AS kept
+FROM b
+"""
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("long").alias("page_id"), "url")
     return url_filters.judge_urls(pages, [*HOST_RULES, *url_filters.PATTERNS]).select("page_id", "host", "path", "rule", "verdict")
@@ -65,9 +108,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_pii": op3_pii,
     "op5_url_filters": op5_url_filters,
     "op6_token_counts": op6_token_counts,
     "op8_language_id": op8_language_id,
+    "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
 }
-SQL = {"op5_url_filters": OP5_SQL}
+SQL = {"op5_url_filters": OP5_SQL, "op9_quality_rules": OP9_SQL}
