@@ -27,7 +27,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detect(docs)
     written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter("spans", lambda s, kind=kind: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    counts = [F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
     added = F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added")
     return found.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"), added)
 
