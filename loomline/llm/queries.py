@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, packing, pii, quality_rules, token_counts, url_filters
+from . import decontamination, language_id, packing, pii, quality_rules, token_counts, url_filters
 from ._common import remove, shared_dir
 
 
@@ -95,6 +95,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.join(counts, ["path", "ordinal"]).select("doc_id", "n_tokens", "part", "ordinal", "start", "closed")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.train(docs.filter(~language_id.held_out()))
@@ -111,6 +115,7 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op5_url_filters": op5_url_filters,
     "op6_token_counts": op6_token_counts,
+    "op7_decontamination": op7_decontamination,
     "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
