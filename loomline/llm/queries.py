@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, packing, pii, quality_rules, token_counts, url_filters
+from . import decontamination, language_id, packing, pii, quality_rules, token_counts, url_filters, warc
 from ._common import remove, shared_dir
 
 
@@ -22,6 +22,25 @@ HOST_RULES = (
 )
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    payload = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
+    files = warc.write_archives(table(spark, sf_dir, "pages"), shared_dir(spark, "warc"), "page_id", "url", payload)
+    records = warc.read_archives(files, payloads=False).filter("kind = 'record'")
+    return records.select(warc.id_of("warc-record-id").alias("page_id"), "payload_bytes", "payload_digest", F.col("headers")["warc-type"].alias("record_type"), warc.id_of("warc-refers-to").alias("refers_to"))
+
+
+OP2_SQL = """
+WITH p AS (SELECT CAST(page_id AS BIGINT) AS page_id, encode(coalesce(html, '')) AS b FROM pages),
+h AS (SELECT page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes, sha1(b) AS h, min(page_id) OVER (PARTITION BY sha1(b)) AS least FROM p)
+SELECT page_id, payload_bytes,
+    list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        CAST(((CAST('0x' || substr(h, (i // 4) * 5 + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31) + 1 AS BIGINT), 1)), 'string_agg', '') AS payload_digest,
+    CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> least THEN least END AS refers_to
+FROM h
+"""
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = pii.detect(docs)
@@ -112,6 +131,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_warc": op2_warc,
     "op3_pii": op3_pii,
     "op5_url_filters": op5_url_filters,
     "op6_token_counts": op6_token_counts,
@@ -120,4 +140,4 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
 }
-SQL = {"op5_url_filters": OP5_SQL, "op9_quality_rules": OP9_SQL}
+SQL = {"op2_warc": OP2_SQL, "op5_url_filters": OP5_SQL, "op9_quality_rules": OP9_SQL}
