@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, packing, pii, quality_rules, token_counts, url_filters, warc
+from . import decontamination, language_id, near_dedup, packing, pii, quality_rules, token_counts, url_filters, warc
 from ._common import remove, shared_dir
 
 
@@ -22,6 +22,11 @@ HOST_RULES = (
 )
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.classes(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", (F.col("id") == F.col("class_id")).alias("kept"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
     files = warc.write_archives(table(spark, sf_dir, "pages"), shared_dir(spark, "warc"), "page_id", "url", payload)
@@ -131,6 +136,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_warc": op2_warc,
     "op3_pii": op3_pii,
     "op5_url_filters": op5_url_filters,
