@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, near_dedup, packing, pii, quality_rules, token_counts, url_filters, warc
+from . import decontamination, language_id, near_dedup, packing, pii, quality_rules, substring_dedup, token_counts, url_filters, warc
 from ._common import remove, shared_dir
 
 
@@ -89,6 +89,24 @@ FROM b
 """
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP4_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+w AS (SELECT r, unnest(range(1, greatest(len(words) - 33, 1))) AS i, words FROM d WHERE len(words) >= 35),
+k AS (SELECT r, i, md5(array_to_string(words[i:i + 34], ' ')) AS h FROM w),
+s AS (SELECT r, i FROM k WHERE h IN (SELECT h FROM k GROUP BY h HAVING count(*) > 1)),
+g AS (SELECT r, list(DISTINCT p) AS gone FROM (SELECT r, unnest(range(i, i + 35)) AS p FROM s) GROUP BY r),
+o AS (SELECT d.r, doc_id, words, coalesce(gone, []) AS gone FROM d LEFT JOIN g ON d.r = g.r)
+SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(gone) AS BIGINT) AS n_removed,
+    sha256(array_to_string(list_filter(words, lambda x, i: NOT list_contains(gone, i)), ' ')) AS kept_sha256
+FROM o
+"""
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("long").alias("page_id"), "url")
     return url_filters.judge_urls(pages, [*HOST_RULES, *url_filters.PATTERNS]).select("page_id", "host", "path", "rule", "verdict")
@@ -139,6 +157,7 @@ QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_warc": op2_warc,
     "op3_pii": op3_pii,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_url_filters": op5_url_filters,
     "op6_token_counts": op6_token_counts,
     "op7_decontamination": op7_decontamination,
@@ -146,4 +165,4 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
 }
-SQL = {"op2_warc": OP2_SQL, "op5_url_filters": OP5_SQL, "op9_quality_rules": OP9_SQL}
+SQL = {"op2_warc": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op5_url_filters": OP5_SQL, "op9_quality_rules": OP9_SQL}
