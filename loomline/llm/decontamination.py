@@ -34,6 +34,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -277,22 +278,25 @@ def _searcher(docs: DataFrame, index: ItemIndex, plan: Plan):
     return run
 
 
-def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text", item_key: str = "item_id", plan: Plan = Plan()) -> DataFrame:
-    """The rows of ``docs`` that hold no item, all columns unchanged."""
-    import pandas as pd
+def _cleaner(docs: DataFrame, index: ItemIndex, plan: Plan):
+    """A column function: whether a text holds no item of the index."""
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
-    for index in item_indexes(items, item_text, item_key, plan):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for series in batches:
+            good = np.ones(len(series), bool)
+            for start, texts in blocks(series.where(series.notna(), None).tolist()):
+                for i, _ in _matches(shared.value, texts, plan):
+                    good[start + i] = False
+            yield pd.Series(good)
 
-        @F.pandas_udf("boolean")
-        def clean(batches: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            for series in batches:
-                good = np.ones(len(series), bool)
-                for start, texts in blocks(series.where(series.notna(), None).tolist()):
-                    for i, _ in _matches(shared.value, texts, plan):
-                        good[start + i] = False
-                yield pd.Series(good)
+    return clean
 
+
+def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text", item_key: str = "item_id", plan: Plan = Plan()) -> DataFrame:
+    """The rows of ``docs`` that hold no item, all columns unchanged."""
+    for index in item_indexes(items, item_text, item_key, plan):
         at = fresh(docs, "is_clean")
-        docs = docs.withColumn(at, clean(F.col(text))).filter(F.col(at)).drop(at)
+        docs = docs.withColumn(at, _cleaner(docs, index, plan)(F.col(text))).filter(F.col(at)).drop(at)
     return docs
