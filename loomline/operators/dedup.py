@@ -91,7 +91,7 @@ def keep_first(members: DataFrame) -> DataFrame:
     while not left.isEmpty():
         first = left.groupBy("bucket").agg(F.min("node").alias("first"))
         seen = left.join(first, "bucket")
-        kept = seen.groupBy("node").agg(F.max("first").alias("m")).filter("m = node").select("node")
+        kept = seen.groupBy("node").agg(F.min("first").alias("m")).filter("m = node").select("node")
         hit = seen.join(kept.withColumnRenamed("node", "first"), "first", "left_semi").filter("node <> first").select("node").distinct()
         hit = cut(hit)
         dropped = hit if dropped is None else cut(dropped.unionByName(hit))
