@@ -60,6 +60,15 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python in batches of ``rows`` rows at most: a batch stands
+    in memory several times (Arrow on both sides, Python strings)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if not 0 < now <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def as_id(column: str):
     """The id as a long, whatever integer type the table has."""
     return F.col(column).cast("long")

@@ -43,7 +43,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import as_id, mix64, runs, shared_dir, span_hashes, written
+from ._common import as_id, mix64, runs, shared_dir, small_batches, span_hashes, written
 
 PART_BITS = 33
 
@@ -194,32 +194,35 @@ def _anchors(table: DataFrame, plan: Plan) -> DataFrame:
     return written(table.select("row", F.col("text").cast("binary")).mapInArrow(run, "gram long, row long, start int, n int"), "anchors")
 
 
-def _pieces(table: DataFrame, side: SideTable, plan: Plan) -> DataFrame:
-    """The words of each stretch in the side table: gram, row, start, n, words."""
+def _pieces(table: DataFrame, side: SideTable, plan: Plan, kinds: dict, cut) -> DataFrame:
+    """Rows that ``cut`` makes of each stretch in the side table, from its words."""
+    schema = pa.schema(list(kinds.items()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = side.reader()
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
         for batch in batches:
-            out: list[list] = [[] for _ in kinds]
+            out: list[tuple] = []
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 found = known(row)
                 if found is None:
                     continue
                 words = text.as_py().split()
                 for gram, start, n in zip(*(x.tolist() for x in found), strict=True):
-                    for column, value in zip(out, (gram, row, start, n, b" ".join(words[start : start + n + plan.window - 1])), strict=True):
-                        column.append(value)
-                if len(out[0]) > 5000:
-                    yield _records(out, kinds, ["gram", "row", "start", "n", "words"])
-                    out = [[] for _ in kinds]
-            yield _records(out, kinds, ["gram", "row", "start", "n", "words"])
+                    out += cut(gram, row, start, n, words[start : start + n + plan.window - 1])
+                if len(out) > 5000:
+                    yield _records(list(zip(*out, strict=True)), schema.types, schema.names)
+                    out = []
+            if out:
+                yield _records(list(zip(*out, strict=True)), schema.types, schema.names)
 
-    return table.select("row", F.col("text").cast("binary")).mapInArrow(run, "gram long, row long, start int, n int, words binary")
+    ddl = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary"}
+    return table.select("row", F.col("text").cast("binary")).mapInArrow(run, ", ".join(f"{k} {ddl[t]}" for k, t in kinds.items()))
 
 
-def _subtrees(pieces: DataFrame, plan: Plan) -> DataFrame:
+def _subtrees(table: DataFrame, side: SideTable, plan: Plan) -> DataFrame:
     """(row, start, stop): words covered by repeated windows of ordinary groups."""
+    kinds = {"gram": pa.int64(), "row": pa.int64(), "start": pa.int32(), "n": pa.int32(), "words": pa.binary()}
+    pieces = _pieces(table, side, plan, kinds, lambda gram, row, start, n, words: [(gram, row, start, n, b" ".join(words))])
     parts = max(1, int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
@@ -253,22 +256,14 @@ def _subtrees(pieces: DataFrame, plan: Plan) -> DataFrame:
     return pieces.repartition(parts, "gram").sortWithinPartitions("gram").mapInArrow(run, "row long, start long, stop long")
 
 
-def _leaves(pieces: DataFrame, plan: Plan) -> DataFrame:
+def _leaves(table: DataFrame, side: SideTable, plan: Plan) -> DataFrame:
     """The same for groups that are too large: whole windows, counted."""
+    kinds = {"key": pa.binary(), "row": pa.int64(), "start": pa.int64()}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                key, row, start = [], [], []
-                for _, r, s, n, text in zip(*(c.to_pylist() for c in batch.slice(at, 1000).columns), strict=True):
-                    words = text.split()
-                    for i in range(n):
-                        key.append(hashlib.blake2b(b" ".join(words[i : i + plan.window]), digest_size=16).digest())
-                    row += [r] * n
-                    start += range(s, s + n)
-                yield _records([key, row, start], [pa.binary(), pa.int64(), pa.int64()], ["key", "row", "start"])
-
-    windows = written(pieces.mapInArrow(run, "key binary, row long, start long"), "windows")
+    def windows_of(gram: int, row: int, start: int, n: int, words: list[bytes]) -> list[tuple]:
+        return [(hashlib.blake2b(b" ".join(words[i : i + plan.window]), digest_size=16).digest(), row, start + i) for i in range(n)]
+
+    windows = written(_pieces(table, side, plan, kinds, windows_of), "windows")
     twice = written(windows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key"), "repeated-windows")
     return windows.join(twice, "key").select("row", "start", (F.col("start") + plan.window).alias("stop"))
 
@@ -276,6 +271,7 @@ def _leaves(pieces: DataFrame, plan: Plan) -> DataFrame:
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", plan: Plan = Plan()) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, and ``kept``, the remaining words
     joined by one space (UTF-8)."""
+    small_batches(docs.sparkSession)
     table = docs.select(F.monotonically_increasing_id().alias("row"), as_id(key).alias("id"), F.col(text).cast("string").alias("text"))
     folder = shared_dir(docs.sparkSession, "numbered-texts")
     table.write.option("compression", "zstd").parquet(folder)
@@ -283,11 +279,11 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", pla
     anchors = _anchors(table, plan)
     counts = written(anchors.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1"), "repeated-runs")
     shared = anchors.join(counts.filter(F.col("c") <= plan.hot).select("gram"), "gram")
-    found = _subtrees(_pieces(table, SideTable(shared, "stretches", ["gram", "start", "n"]), plan), plan)
+    found = _subtrees(table, SideTable(shared, "stretches", ["gram", "start", "n"]), plan)
     hot = counts.filter(F.col("c") > plan.hot).select("gram")
     if not hot.isEmpty():
         side = SideTable(anchors.join(hot, "gram"), "hot-stretches", ["gram", "start", "n"])
-        found = found.unionByName(_leaves(_pieces(table, side, plan), plan))
+        found = found.unionByName(_leaves(table, side, plan))
     repeats = SideTable(found, "repeats", ["start", "stop"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
