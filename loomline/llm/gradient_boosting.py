@@ -88,10 +88,15 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 25, depth: int = 3, rate: flo
 
 
 def calibrated_threshold(logits: np.ndarray, y: np.ndarray, precision: float) -> float:
-    """The lowest logit from which on held-out precision is ``precision`` at
-    least; above every logit where none reaches it."""
+    """The lowest threshold at which held-out precision is ``precision`` at
+    least: halfway between the lowest logit accepted and the highest rejected.
+    Infinite where no threshold reaches it."""
     order = np.argsort(-logits, kind="stable")
+    ranked = logits[order]
     right = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
-    ends = np.append(logits[order][:-1] > logits[order][1:], True)
+    ends = np.append(ranked[:-1] > ranked[1:], True)
     good = np.flatnonzero((right >= precision) & ends)
-    return float(logits[order][good[-1]]) if len(good) else float("inf")
+    if not len(good):
+        return float("inf")
+    last = good[-1]
+    return float((ranked[last] + ranked[last + 1]) / 2) if last + 1 < len(ranked) else float(ranked[last] - 1)

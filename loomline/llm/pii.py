@@ -51,13 +51,13 @@ GENERATORS = (
 )
 #: Context words before a span that speak for a kind.
 CONTEXT = {
-    "email": r"(?i)(?:e-?mail|mail|contact|write|reach|address)[^\n]{0,20}$",
-    "ip": r"(?i)(?:\bip\b|host|server|address|login|ping)[^\n]{0,20}$",
-    "card": r"(?i)(?:card|visa|master|credit|payment|debit)[^\n]{0,20}$",
-    "phone": r"(?i)(?:tel|phone|call|mobile|fax|sms|cell|reach)[^\n]{0,20}$",
+    "email": r"(?i)(?<!\p{L})(?:e-?mail|mail|contact|write|reach|address)(?!\p{L})[^\n]{0,20}$",
+    "ip": r"(?i)(?<!\p{L})(?:ip|host|server|address|login|ping)(?!\p{L})[^\n]{0,20}$",
+    "card": r"(?i)(?<!\p{L})(?:card|visa|master|credit|payment|debit)(?!\p{L})[^\n]{0,20}$",
+    "phone": r"(?i)(?<!\p{L})(?:tel|phone|telephone|call|mobile|fax|sms|cell)(?!\p{L})[^\n]{0,20}$",
 }
 #: Context words that speak against: figures, versions, orders, references.
-AGAINST = r"(?i)(?:version|order|invoice|page|isbn|section|figure|part|serial|total|ref|no\.)[^\n]{0,12}$"
+AGAINST = r"(?i)(?<!\p{L})(?:version|order|invoice|page|isbn|section|figure|part|serial|total|ref|no\.)(?!\p{L})[^\n]{0,12}$"
 BLOCK = 64
 
 
@@ -156,7 +156,7 @@ def examples(kind: str, n: int, seed: int) -> list[tuple[str, str, str, int]]:
         label = rng.random() < 0.5
         if kind == "email":
             at, dot = rng.choice([("[at]", "[dot]"), ("(at)", "(dot)"), (" at ", " dot "), (" [at] ", ".")])
-            value = f"{word()}{d(2)}{at}{word()}{dot}{rng.choice(['com', 'org', 'net', 'de'])}" if label else f"{word()} at {word()}{rng.choice(['. ', '.'])}{word()}"
+            value = f"{word()}{d(rng.choice([0, 2]))}{at}{word()}{dot}{rng.choice(['com', 'org', 'net', 'de'])}" if label else f"{word()} at {word()}{rng.choice(['. ', '.'])}{word()}"
         elif kind == "ip":
             value = "[.]".join(str(rng.randint(1, 255 if label else 999)) for _ in range(4))
         elif kind == "card":
