@@ -65,3 +65,9 @@ def card(title: str, seed: int, sources: list[dict], benchmarks: dict, eval_gram
     out += [f"- {s['stage']}: {s['n_rows']} rows ({s['unique_rows']} records), {s['tokens']} tokens" for s in stages]
     out += ["", "## Objects", ""] + [f"- {o['stage']}: {o['train_key']} ({o['n_train']} rows), {o['test_key']} ({o['n_test']} rows)" for o in objects]
     return "\n".join(out) + "\n"
+
+
+def round_trip(encode, decode, samples: list[str], tags: tuple[str, ...] = (), most: int = 3) -> dict[str, bool]:
+    """Whether a tokenizer gives samples back, and keeps each tag within ``most`` tokens."""
+    out = {f"sample {i}": decode(encode(s)) == s for i, s in enumerate(samples)}
+    return out | {f"tag {t}": 0 < len(encode(t)) <= most for t in tags}

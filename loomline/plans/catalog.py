@@ -9,6 +9,7 @@ from ..functions.text import WHITE, count_of, plain_ascii, split_prose, split_th
 from ..functions.storage import cut
 from ..operators import decontam, dedup, mix, normalize, quality, reasoning, render, split, validate
 from ..sources import io
+from ..sources.catalog import SOURCES, as_table
 from .bindings import BUDGET, EXCLUSIVE, HARDEST, LICENSES, LONGEST, REPLAY, ROTATION, SEED, STAGE1, STAGE2, all_stages, conversation_records, document_records, items, lines, stage1, stage2, stage3, table
 
 QUERIES: dict = {}
@@ -564,3 +565,15 @@ def empty_row_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scalar_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     return d.select("doc_id", strip(F.col("text")).alias("stripped"), plain_ascii(F.col("text")).alias("plain"), F.lower("text").alias("low"), F.length("text").alias("chars"))
+
+
+def _row(i, s) -> str:
+    text = lambda v: "NULL" if v is None else f"'{v}'"
+    name = s.id.replace("/", "__") + (f"__{s.config}" if s.config else "") + (f"__{s.split}" if s.split != "train" else "")
+    return f"({i}, {text(s.id)}, '{name}', {text(s.domain)}, {text(s.license)}, {s.max_rows if s.max_rows else 'NULL'}, {str(s.gated).lower()})"
+
+
+@query(f"SELECT * FROM (VALUES {', '.join(_row(i, s) for i, s in enumerate(SOURCES))}) v(source_rank, source, name, domain, license, max_rows, gated) WHERE NOT gated")
+def source_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources that need no login."""
+    return as_table(spark, SOURCES).filter(~F.col("gated")).select("source_rank", "source", "name", "domain", "license", "max_rows", "gated")

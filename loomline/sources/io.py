@@ -46,6 +46,39 @@ def first_setting(names: tuple[str, ...], environment: dict | None = None) -> st
     return next((env[n] for n in names if env.get(n)), None)
 
 
+def read_mirror(spark: SparkSession, root: str, name: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """A source's raw rows from a mirrored folder ``root/name``: Parquet, else JSON lines."""
+    path = f"{root.rstrip('/')}/{name}"
+    if exists(spark, f"{path}/data.jsonl"):
+        if schema is None:
+            schema = spark.read.json(f"{path}/data.jsonl").schema
+        return read_json_lines(spark, f"{path}/data.jsonl", schema).drop("path")
+    return spark.read.parquet(path)
+
+
+def read_benchmarks(spark: SparkSession, root: str, wanted: list[str], known: dict[str, tuple]) -> tuple[DataFrame | None, dict]:
+    """(bench, question) of the wanted benchmarks below ``root``, and for each the
+    number of questions or why there are none.  One that fails doesn't stop the others."""
+    out, status = None, {}
+    for name in wanted:
+        if name not in known:
+            status[name] = "no-loader"
+            continue
+        column = known[name][3]
+        try:
+            rows = read_mirror(spark, root, name).select(F.lit(name).alias("bench"), F.col(column).cast("string").alias("question")).filter("question <> ''")
+            status[name] = rows.count()
+            out = rows if out is None else out.unionByName(rows)
+        except Exception as error:  # noqa: BLE001  whatever a source raises goes to its status
+            status[name] = f"ERR:{type(error).__name__}"
+    return out, status
+
+
+def write_chunks(df: DataFrame, path: str, by: tuple[str, ...] = ("stage", "chunk", "side")) -> None:
+    """A folder per stage, chunk and side, as JSON lines."""
+    df.repartition(*by).write.mode("overwrite").option("ignoreNullFields", "false").partitionBy(*by).json(path)
+
+
 def acquire(read: Callable[[], DataFrame], tries: int = 3, wait: float = 1.0) -> tuple[DataFrame | None, dict]:
     """A source's rows, or None after ``tries`` failures, and its manifest entry."""
     problem = ""

@@ -174,3 +174,23 @@ def test_json_lines_number_physical_lines(spark, tmp_path):
     assert io.signed_seconds(10**9) == io.MAX_SIGNED and io.row_cap(5, {"LOOMLINE_SMOKE_ROWS": "3"}) == 3 and io.row_cap(0, {}) is None
     df, state = io.acquire(lambda: 1 / 0, wait=0)
     assert df is None and "ZeroDivisionError" in state["error"]
+
+
+def test_catalog_and_mirrors(spark, tmp_path):
+    from loomline.sources.catalog import BENCHMARKS, SOURCES
+
+    assert len(SOURCES) == 21 and len({s.name for s in SOURCES}) == 21 and sum(s.must_reason for s in SOURCES) == 7
+    assert SOURCES[0].name == "nvidia__OpenMathReasoning__default__cot" and len(available(SOURCES)) == 17
+    (tmp_path / "gsm8k").mkdir()
+    (tmp_path / "gsm8k/data.jsonl").write_text('{"question": "q"}\n{"question": ""}\n')
+    rows, status = io.read_benchmarks(spark, f"file://{tmp_path}", ["gsm8k", "aime", "other"], BENCHMARKS)
+    assert rows.count() == 1 and status["gsm8k"] == 1 and status["aime"].startswith("ERR:") and status["other"] == "no-loader"
+    df = spark.createDataFrame([("s", 0, "train", "a"), ("s", 1, "test", "b")], "stage string, chunk long, side string, v string")
+    io.write_chunks(df, f"file://{tmp_path}/chunks")
+    assert spark.read.json(f"file://{tmp_path}/chunks/stage=s/chunk=1/side=test").first().v == "b"
+
+
+def test_tokenizer_round_trip():
+    enc, dec = (lambda s: list(s.encode())), (lambda b: bytes(b).decode())
+    assert validate.round_trip(enc, dec, ["é x"], ("ab",)) == {"sample 0": True, "tag ab": True}
+    assert not validate.round_trip(enc, dec, [], ("<think>",))["tag <think>"]
