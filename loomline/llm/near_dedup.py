@@ -25,8 +25,8 @@ found too, and a group of many copies makes few pairs.
 
 Defined results: null and empty texts are alone in their class; texts without
 a word are equal only to the same text; a row with a null id has a null class
-and is kept; rows that repeat an id and a text are one document; an empty
-table gives no row.  Further columns are passed through by ``keep_first``.
+and is kept; rows that repeat an id and a text are one document, and rows that
+share an id alone stand or fall together; an empty table gives no row.  Further columns are passed through by ``keep_first``.
 """
 
 from __future__ import annotations
@@ -318,5 +318,5 @@ def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", plan: P
     repeated = written(found.filter("class_id = id").groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("id").alias(at)), "repeated-ids")
     if repeated.isEmpty():
         return kept
-    once = kept.join(repeated, F.col(key).cast("long") == F.col(at), "left_semi").dropDuplicates([key])
+    once = kept.join(repeated, F.col(key).cast("long") == F.col(at), "left_semi").dropDuplicates([key, text])
     return kept.join(repeated, F.col(key).cast("long") == F.col(at), "left_anti").unionByName(once)
