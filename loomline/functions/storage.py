@@ -17,3 +17,13 @@ def cut(df: DataFrame) -> DataFrame:
         base = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         sc.setCheckpointDir(base or "file://" + os.path.join(tempfile.gettempdir(), f"loomline-{uuid.uuid4().hex}"))
     return df.checkpoint()
+
+
+#: Tables up to this many bytes are dealt out anew: they may be one row group, which one task reads.
+SMALL_BYTES = 24 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small table over all cores; a larger one as its files are split."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SMALL_BYTES else df

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.storage import spread
 from ..functions.text import split_think, text, words
 from ..operators import mix, normalize
 from ..operators.render import record_text
@@ -21,7 +22,7 @@ LICENSES = ("CC-BY-4.0", "cc-by-nc-4.0", "check-card", "MIT")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
