@@ -61,7 +61,8 @@ def signature(shingle_array: Column, n: int = BANDS * ROWS) -> Column:
                 out.append(((a * x + b) % PRIME).min(axis=1))
             yield pd.Series(out)
 
-    return minima(shingle_array)
+    # so marked, it is neither moved into filters nor run twice
+    return minima.asNondeterministic()(shingle_array)
 
 
 def bands(values: Column) -> Column:

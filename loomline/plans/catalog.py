@@ -271,7 +271,8 @@ def _distinct_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _signed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _distinct_bodies(spark, sf_dir).select(*_BY, dedup.signature(dedup.shingle_set(F.col("body"))).alias("sig")).filter("sig IS NOT NULL")
+    sets = cut(_distinct_bodies(spark, sf_dir).select(*_BY, dedup.shingle_set(F.col("body")).alias("set")))
+    return sets.select(*_BY, dedup.signature(F.col("set")).alias("sig")).filter("sig IS NOT NULL")
 
 
 @query(f"WITH {_SIGNED} SELECT doc_id, array_to_string(sig, ',') AS signature FROM m")
@@ -281,7 +282,7 @@ def minhash_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_PAIRED} SELECT doc_a, doc_b FROM p")
 def lsh_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members = cut(_signed(spark, sf_dir)).select(F.struct(*_BY).alias("node"), F.explode(dedup.bands(F.col("sig"))).alias("bucket"))
+    members = _signed(spark, sf_dir).select(F.struct(*_BY).alias("node"), F.explode(dedup.bands(F.col("sig"))).alias("bucket"))
     return dedup.candidate_pairs(members).select(F.col("a.doc_id").alias("doc_a"), F.col("b.doc_id").alias("doc_b"))
 
 
