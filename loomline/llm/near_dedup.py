@@ -271,13 +271,14 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", plan: Plan
     signed = signatures(docs, frequencies, text, key, plan)
     nodes = signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("rep"), F.first("weight").alias("weight"), F.first("bands").alias("bands"))
     in_band = nodes.select("node", "rep", "weight", F.explode("bands").alias("band"))
-    full = in_band.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    # what is joined by band is written first: adaptive execution can then split a band that many hold
+    full = written(in_band.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
     members = written(in_band.join(full, "band"), "bucket-members")
     # a bound that holds exactly: the weights of two texts differ at most by the similarity
     like = lambda x, y: F.least(x, y) >= plan.threshold * F.greatest(x, y) * (1 - 1e-6)
     # the pivot of a bucket is its member with the most company over all its buckets: the least edited copy
     company = members.groupBy("node").agg(F.sum("n").alias("company"))
-    pivots = members.join(company, "node").groupBy("band").agg(F.max(F.struct("company", "node", "weight")).alias("p"))
+    pivots = written(members.join(company, "node").groupBy("band").agg(F.max(F.struct("company", "node", "weight")).alias("p")), "pivots")
     pairs = members.join(pivots, "band").filter((F.col("node") != F.col("p.node")) & like(F.col("weight"), F.col("p.weight")))
     pairs = pairs.select(F.col("node").alias("a"), F.col("p.node").alias("pivot")).distinct()
     texts = _texts(docs, members.select("node", "rep").distinct(), text, key)
@@ -286,7 +287,7 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", plan: Plan
     # buckets whose members still lie apart: all pairs across classes whose sketches say they may be links
     now = members.select("band", "node", "weight").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = now.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).filter("x <> y AND n > 2").select("band")
-    apart = written(now.join(mixed, "band"), "mixed-buckets")
+    apart = written(now.join(written(mixed, "mixed"), "band"), "mixed-buckets")
     if not apart.isEmpty():
         some = apart.select("node").distinct()
         sketches = written(fine_sketches(texts.join(some, "node", "left_semi"), shared, plan), "fine-sketches")
