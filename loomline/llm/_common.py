@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Code points of text that one numpy pass handles together; a longer text is a block of its own.
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 18
 
 
 def fresh(df: DataFrame, base: str) -> str:
@@ -38,13 +40,6 @@ def shared_dir(spark: SparkSession, what: str) -> str:
     return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``checkpoint()`` usable: the session's own folder, else one of ours."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(shared_dir(spark, "checkpoints"))
-
-
 def written(df: DataFrame, what: str) -> DataFrame:
     """``df`` written as Parquet to shared storage and read back: a cut of the
     lineage that survives lost executors and is computed once."""
@@ -69,6 +64,28 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(name, str(rows))
 
 
+def release() -> None:
+    """Give memory that this process no longer uses back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library keeps its own books
+
+
+def tidy(run):
+    """``run`` for mapInArrow; its worker, which lives on, gives memory back after each partition."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return tidied
+
+
 def as_id(column: str):
     """The id as a long, whatever integer type the table has."""
     return F.col(column).cast("long")
@@ -203,7 +220,3 @@ def space_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     inside[odd] = ~np.isin(points[odd], SPACES)
     starts, ends = runs(inside)
     return starts, ends, points, np.searchsorted(starts, offsets)
-
-
-def batch_of(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import as_id, blocks, fresh, lower_words, mix64
+from ._common import as_id, blocks, fresh, lower_words, mix64, release, small_batches, tidy
 
 #: Items whose keys are broadcast together.
 ITEM_BLOCK = 20_000
@@ -194,7 +194,7 @@ class ItemIndex:
         at = anchors(hashes, plan, self.more)
         text = np.searchsorted(first, at, "right") - 1
         out: set[tuple[int, int, int]] = set()
-        step = 1 << 17
+        step = 1 << 15
         for lo in range(0, len(at), step):
             starts, owner = at[lo : lo + step], text[lo : lo + step]
             keys = walk_keys(hashes, first[owner + 1], starts, plan)
@@ -209,9 +209,10 @@ class ItemIndex:
 def contaminations(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id", plan: Plan = Plan()) -> DataFrame:
     """A row per document and item that it holds: doc_id, item_id, distance
     (characters), similarity, and char_end in the normalised text."""
+    small_batches(docs.sparkSession)
     out = None
     for index in item_indexes(items, item_text, item_key, plan):
-        part = docs.select(as_id(key), F.col(text).cast("string")).mapInArrow(_searcher(docs, index, plan), "doc_id long, item_id long, distance int, similarity double, char_end long")
+        part = docs.select(as_id(key), F.col(text).cast("string")).mapInArrow(tidy(_searcher(docs, index, plan)), "doc_id long, item_id long, distance int, similarity double, char_end long")
         out = part if out is None else out.unionByName(part)
     if out is None:
         return docs.select(as_id(key).alias("doc_id")).filter(F.lit(False)).selectExpr("doc_id", "0L item_id", "0 distance", "0D similarity", "0L char_end")
@@ -284,18 +285,22 @@ def _cleaner(docs: DataFrame, index: ItemIndex, plan: Plan):
 
     @F.pandas_udf("boolean")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for series in batches:
-            good = np.ones(len(series), bool)
-            for start, texts in blocks(series.where(series.notna(), None).tolist()):
-                for i, _ in _matches(shared.value, texts, plan):
-                    good[start + i] = False
-            yield pd.Series(good)
+        try:
+            for series in batches:
+                good = np.ones(len(series), bool)
+                for start, texts in blocks(series.where(series.notna(), None).tolist()):
+                    for i, _ in _matches(shared.value, texts, plan):
+                        good[start + i] = False
+                yield pd.Series(good)
+        finally:
+            release()
 
     return clean
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text", item_key: str = "item_id", plan: Plan = Plan()) -> DataFrame:
     """The rows of ``docs`` that hold no item, all columns unchanged."""
+    small_batches(docs.sparkSession)
     for index in item_indexes(items, item_text, item_key, plan):
         at = fresh(docs, "is_clean")
         docs = docs.withColumn(at, _cleaner(docs, index, plan)(F.col(text))).filter(F.col(at)).drop(at)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import blocks, code_points, fresh, letter_table
+from ._common import blocks, code_points, fresh, letter_table, release, small_batches, tidy
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
@@ -67,9 +67,10 @@ class LanguageModel:
             letters = np.add.reduceat((low != 32).astype(np.int64), offsets[:-1])
             total = np.zeros((len(run), k))
             # one piece of a very long block at a time bounds the gathered rows
-            for at in range(0, len(low), 1 << 20):
+            step = max(1 << 14, (1 << 20) // k)
+            for at in range(0, len(low), step):
                 lo = max(0, at - len(ORDERS))
-                piece = low[lo : at + (1 << 20)]
+                piece = low[lo : at + step]
                 rows = np.zeros((len(piece) - (at - lo), k), np.float32)
                 for order in ORDERS:
                     rows += self.log_prob[ngram_buckets(piece, order, self.bits)[at - lo :]]
@@ -112,6 +113,7 @@ def train(
     the rows with the smallest hashes of the key, in expectation that many.
     What comes to the driver is a count per language and bucket.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(text).alias("text"), F.col(label).cast("string").alias("lang"), F.col(key).cast("string").alias("key"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -139,7 +141,7 @@ def train(
             used = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used)), pa.array(used.astype(np.int32)), pa.array(counts[used])], schema=schema)
 
-    counted = sample.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    counted = sample.mapInArrow(tidy(count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     matrix = np.full((1 << bits, len(languages)), smoothing)
     columns = counted["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(np.int64)
     matrix[counted["bucket"].to_numpy(np.int64), columns] += counted["n"].to_numpy(np.float64)
@@ -150,14 +152,18 @@ def train(
 
 def predictor(spark, model: LanguageModel):
     """A column function text -> struct<lang_pred, score>; the model is broadcast."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     @F.pandas_udf(kind)
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for series in texts:
-            names, scores = shared.value.predict(series.where(series.notna(), None).tolist())
-            yield pd.DataFrame({"lang_pred": names, "score": scores})
+        try:
+            for series in texts:
+                names, scores = shared.value.predict(series.where(series.notna(), None).tolist())
+                yield pd.DataFrame({"lang_pred": names, "score": scores})
+        finally:
+            release()
 
     return predict
 

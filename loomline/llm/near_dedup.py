@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import as_id, blocks, fresh, lower_words, mix64, written
+from ._common import as_id, blocks, fresh, lower_words, mix64, small_batches, tidy, written
 from .components import components
 
 #: Buckets of the table of document frequencies: its size is fixed.
@@ -87,7 +87,7 @@ def word_frequencies(docs: DataFrame, text: str = "text") -> Frequencies:
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1).astype(np.int32)), pa.array(np.append(counts[used], n))], ["bucket", "n"])
 
-    rows = docs.select(F.col(text).cast("string")).mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = docs.select(F.col(text).cast("string")).mapInArrow(tidy(run), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     total = int(rows.loc[rows.bucket < 0, "n"].sum())
     df = np.ones(1 << SKETCH_BITS)
     rows = rows[rows.bucket >= 0]
@@ -184,7 +184,7 @@ def signatures(docs: DataFrame, frequencies: Frequencies, text: str, key: str, p
                 )
 
     rows = docs.select(as_id(key).alias("id"), F.col(text).cast("string").alias("text")).filter("id IS NOT NULL")
-    return written(rows.mapInArrow(run, "id long, node binary, weight double, bands array<long>"), "signatures")
+    return written(rows.mapInArrow(tidy(run), "id long, node binary, weight double, bands array<long>"), "signatures")
 
 
 def weighted_jaccard(a: tuple, b: tuple) -> float:
@@ -215,7 +215,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, frequencies, plan: Plan) -> Da
                 cols = list(zip(*out, strict=True)) or [[]] * 3
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.binary(), pa.binary(), pa.float64()), strict=True)], ["a", "b", "similarity"])
 
-    return held.mapInArrow(run, "a binary, b binary, similarity double")
+    return held.mapInArrow(tidy(run), "a binary, b binary, similarity double")
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, text: str, key: str) -> DataFrame:
@@ -228,7 +228,7 @@ def _texts(docs: DataFrame, nodes: DataFrame, text: str, key: str) -> DataFrame:
             yield batch.filter(pa.array(right, pa.bool_()))
 
     rows = docs.select(as_id(key).alias("rep"), F.col(text).cast("string").alias("text")).filter("text IS NOT NULL")
-    return written(rows.join(nodes, "rep").select("node", "text").mapInArrow(run, "node binary, text string"), "candidate-texts")
+    return written(rows.join(nodes, "rep").select("node", "text").mapInArrow(tidy(run), "node binary, text string"), "candidate-texts")
 
 
 def fine_sketches(texts: DataFrame, frequencies, plan: Plan) -> DataFrame:
@@ -249,7 +249,7 @@ def fine_sketches(texts: DataFrame, frequencies, plan: Plan) -> DataFrame:
                 packed = (nibbles << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(run_of)).take(pa.array(some)), pa.array(list(packed.view(np.int64)), pa.list_(pa.int64()))], ["node", "sketch"])
 
-    return texts.select("node", "text").mapInArrow(run, "node binary, sketch array<long>")
+    return texts.select("node", "text").mapInArrow(tidy(run), "node binary, sketch array<long>")
 
 
 def _differing(a: str, b: str, longs: int) -> str:
@@ -266,6 +266,7 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", plan: Plan
     """A row for each row of ``docs`` with an id: id and class_id, the least id
     of its class."""
     spark = docs.sparkSession
+    small_batches(spark)
     frequencies = word_frequencies(docs, text)
     shared = spark.sparkContext.broadcast(frequencies)
     signed = signatures(docs, frequencies, text, key, plan)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from ._common import as_id
+from ._common import as_id, small_batches, tidy
 from .tokens import default_path, tokenizer
 
 SCHEMA = "doc_id long, start long, length long, tokens binary, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
@@ -134,6 +134,7 @@ def pack(
     """One row per piece; ``tokens`` holds its ids as little-endian unsigned 32-bit integers."""
     if any(t & (t - 1) for t in tiers):
         raise ValueError("tiers are powers of two")
+    small_batches(docs.sparkSession)
     path = tokenizer_path or default_path()
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("tokens", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("tier", pa.int32()), ("step_group", pa.int64())]
     schema = pa.schema(fields)
@@ -179,4 +180,4 @@ def pack(
         packer.flush()
         yield from rows()
 
-    return docs.select(as_id(key), docs[text].cast("string")).mapInArrow(run, SCHEMA)
+    return docs.select(as_id(key), docs[text].cast("string")).mapInArrow(tidy(run), SCHEMA)

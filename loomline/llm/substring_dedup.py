@@ -43,7 +43,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import as_id, mix64, runs, shared_dir, small_batches, span_hashes, written
+from ._common import as_id, mix64, runs, shared_dir, small_batches, span_hashes, tidy, written
 
 PART_BITS = 33
 
@@ -68,7 +68,7 @@ def byte_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(data, starts, ends), np.searchsorted(starts, offsets)
 
 
-def byte_blocks(texts: list[bytes | None], size: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def byte_blocks(texts: list[bytes | None], size: int = 1 << 18) -> Iterator[tuple[int, list[bytes]]]:
     run: list[bytes] = []
     first = total = 0
     for i, t in enumerate(texts):
@@ -192,7 +192,7 @@ def _anchors(table: DataFrame, plan: Plan) -> DataFrame:
                 text, start, n, gram = stretches(*byte_words(texts), plan)
                 yield _records([gram, rows[at + text], start.astype(np.int32), n.astype(np.int32)], [pa.int64(), pa.int64(), pa.int32(), pa.int32()], ["gram", "row", "start", "n"])
 
-    return written(table.select("row", F.col("text").cast("binary")).mapInArrow(run, "gram long, row long, start int, n int"), "anchors")
+    return written(table.select("row", F.col("text").cast("binary")).mapInArrow(tidy(run), "gram long, row long, start int, n int"), "anchors")
 
 
 def _pieces(table: DataFrame, side: SideTable, plan: Plan, kinds: dict, cut) -> DataFrame:
@@ -217,7 +217,7 @@ def _pieces(table: DataFrame, side: SideTable, plan: Plan, kinds: dict, cut) ->
                 yield _records(list(zip(*out, strict=True)), schema.types, schema.names)
 
     ddl = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary"}
-    return table.select("row", F.col("text").cast("binary")).mapInArrow(run, ", ".join(f"{k} {ddl[t]}" for k, t in kinds.items()))
+    return table.select("row", F.col("text").cast("binary")).mapInArrow(tidy(run), ", ".join(f"{k} {ddl[t]}" for k, t in kinds.items()))
 
 
 def _subtrees(table: DataFrame, side: SideTable, plan: Plan) -> DataFrame:
@@ -254,7 +254,7 @@ def _subtrees(table: DataFrame, side: SideTable, plan: Plan) -> DataFrame:
         if held:
             yield solve(held)
 
-    return pieces.repartition(parts, "gram").sortWithinPartitions("gram").mapInArrow(run, "row long, start long, stop long")
+    return pieces.repartition(parts, "gram").sortWithinPartitions("gram").mapInArrow(tidy(run), "row long, start long, stop long")
 
 
 def _leaves(table: DataFrame, side: SideTable, plan: Plan) -> DataFrame:
@@ -307,4 +307,4 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", pla
                     kept.append(b" ".join(words))
                 yield _records([part.column(1), n_words, n_removed, kept], [pa.int64(), pa.int64(), pa.int64(), pa.binary()], ["doc_id", "n_words", "n_removed", "kept"])
 
-    return table.select("row", "id", F.col("text").cast("binary")).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept binary")
+    return table.select("row", "id", F.col("text").cast("binary")).mapInArrow(tidy(run), "doc_id long, n_words long, n_removed long, kept binary")

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import as_id, written
+from ._common import as_id, small_batches, tidy, written
 from .tokens import default_path, tokenizer
 
 END_OF_TEXT = 49407
@@ -42,6 +42,7 @@ def write_token_files(
     another file; only files named in the result count.  A null text has no
     token; strings of special tokens are ordinary text.
     """
+    small_batches(docs.sparkSession)
     path = tokenizer_path or default_path()
     schema = pa.schema([("path", pa.string()), ("part", pa.int32()), ("ordinal", pa.int64()), ("doc_id", pa.int64())])
 
@@ -63,7 +64,7 @@ def write_token_files(
                     n += k
 
     rows = docs.select(as_id(key), docs[text].cast("string"))
-    return written(rows.mapInArrow(run, "path string, part int, ordinal long, doc_id long"), "token-manifest")
+    return written(rows.mapInArrow(tidy(run), "path string, part int, ordinal long, doc_id long"), "token-manifest")
 
 
 def file_sizes(spark: SparkSession, paths: DataFrame) -> DataFrame:
@@ -75,7 +76,7 @@ def file_sizes(spark: SparkSession, paths: DataFrame) -> DataFrame:
             sizes = [fs.get_file_info(local).size for fs, local in map(pyarrow.fs.FileSystem.from_uri, names)]
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(sizes, pa.int64())], ["path", "size"])
 
-    return paths.select("path").distinct().mapInArrow(run, "path string, size long")
+    return paths.select("path").distinct().mapInArrow(tidy(run), "path string, size long")
 
 
 def scan_blocks(files: DataFrame, end_id: int = END_OF_TEXT, width: int = 2, block_bytes: int = 4 << 20) -> DataFrame:
@@ -98,7 +99,7 @@ def scan_blocks(files: DataFrame, end_id: int = END_OF_TEXT, width: int = 2, blo
                     ["path", "first", "n", "ends"],
                 )
 
-    return blocks.repartition(spread, "path", "at").mapInArrow(run, "path string, first long, n long, ends array<long>")
+    return blocks.repartition(spread, "path", "at").mapInArrow(tidy(run), "path string, first long, n long, ends array<long>")
 
 
 def count_documents(files: DataFrame, end_id: int = END_OF_TEXT, width: int = 2, block_bytes: int = 4 << 20) -> DataFrame:

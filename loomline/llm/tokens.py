@@ -15,8 +15,8 @@ import numpy as np
 
 from ._common import blocks, code_points, runs, span_hashes
 
-#: Pieces that a worker remembers: some 80 MB.  Beyond it the memory starts anew.
-MEMORY = 3_000_000
+#: Pieces that a worker remembers: some 40 MB.  Beyond it the memory starts anew.
+MEMORY = 1_500_000
 
 
 def default_path(name: str = "word_bpe_49k.json") -> str:

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import as_id, written
+from ._common import as_id, small_batches, tidy, written
 
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -84,6 +84,7 @@ def write_archives(rows: DataFrame, folder: str, key: str, url: str, payload: Co
     share); returns, materialised, the files written: path, records, bytes.
     A lost task that runs again writes another file; only files named in the
     result count."""
+    small_batches(rows.sparkSession)
     marked = mark_duplicates(rows.select(as_id(key).alias("id"), F.col(url).cast("string").alias("url"), payload.alias("payload")), min_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +104,7 @@ def write_archives(rows: DataFrame, folder: str, key: str, url: str, payload: Co
             out.close()
             yield pa.RecordBatch.from_arrays([pa.array([target]), pa.array([n], pa.int64()), pa.array([size], pa.int64())], ["path", "records", "bytes"])
 
-    return written(marked.mapInArrow(run, "path string, records long, bytes long"), "warc-manifest")
+    return written(marked.mapInArrow(tidy(run), "path string, records long, bytes long"), "warc-manifest")
 
 
 class Bad(Exception):
@@ -266,7 +267,7 @@ def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return names.repartition(spread, "path").mapInArrow(run, RECORDS)
+    return names.repartition(spread, "path").mapInArrow(tidy(run), RECORDS)
 
 
 def id_of(header: str) -> Column:
