@@ -275,7 +275,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", pla
     small_batches(docs.sparkSession)
     table = docs.select(F.monotonically_increasing_id().alias("row"), as_id(key).alias("id"), F.col(text).cast("string").alias("text"))
     folder = shared_dir(docs.sparkSession, "numbered-texts")
-    table.write.option("compression", "zstd").parquet(folder)
+    table.write.parquet(folder)
     table = docs.sparkSession.read.schema("row long, id long, text string").parquet(folder)
     anchors = _anchors(table, plan)
     counts = written(anchors.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1"), "repeated-runs")
