@@ -15,6 +15,11 @@ fewer than two, its first words become anchors, in every document too.
 All windows of all documents are embedded; keys of documents are looked up
 among the items' keys, which are broadcast in blocks of ``ITEM_BLOCK`` items.
 
+Items of at most ``SHORT`` characters are looked up without loss instead: with
+at most k edits one of k + 1 pieces of the item stands in the document
+unchanged, so each place of a piece is a candidate, which a bit-parallel
+distance in numpy sifts.  Items too short for any edit match as whole words.
+
 Each candidate is verified exactly: the least edit distance, in characters of
 the normalised text, between the item and any substring of the region.
 
@@ -39,11 +44,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import as_id, blocks, fresh, lower_words, mix64, release, small_batches, tidy
+from ._common import as_id, blocks, code_points, fresh, lower_words, mix64, release, small_batches, tidy, word_table
 
 #: Items whose keys are broadcast together.
 ITEM_BLOCK = 20_000
 WORD = re.compile(r"\w+")
+#: Characters of the items that one machine word holds.
+SHORT = 64
+#: Hits of grams that are handled together.
+HITS = 1 << 21
 
 
 @dataclass(frozen=True)
@@ -124,6 +133,154 @@ def _simple_lower(text: str) -> str:
     return low if len(low) == len(text) else "".join(c.lower()[0] if c.isalnum() else c for c in text)
 
 
+def allowed(length: int, plan: Plan) -> int:
+    """The most edits of an item of ``length`` characters."""
+    return int((1 - plan.threshold) * length + 1e-9)
+
+
+def normal_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all normalised texts, a space before and after every word,
+    and where each text begins (one more at the end)."""
+    points, offsets = code_points(texts)
+    low = word_table()[points]
+    inside = low != 0
+    kept = inside.copy()
+    kept[1:] |= inside[:-1]
+    before = np.zeros(len(low) + 1, np.int64)
+    np.cumsum(kept, out=before[1:])
+    low[~inside] = 32
+    return np.append(np.uint32(32), low[kept]), before[offsets] + 1
+
+
+@dataclass
+class Grams:
+    """Grams of items, by length: sorted keys, and item and offset of each."""
+
+    keys: dict[int, np.ndarray]
+    item: dict[int, np.ndarray]
+    offset: dict[int, np.ndarray]
+    seen: dict[int, np.ndarray]
+
+    @classmethod
+    def build(cls, rows: list[tuple[int, int, str]]) -> Grams:
+        """From (item, offset, gram)."""
+        out = cls({}, {}, {}, {})
+        for n in sorted({len(g) for _, _, g in rows}):
+            own = [r for r in rows if len(r[2]) == n]
+            points = np.frombuffer("".join(g for _, _, g in own).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, n)
+            keys = np.zeros(len(own), np.uint64)
+            for j in range(n):
+                keys = cls.longer(keys, points[:, j])
+            order = np.argsort(keys, kind="stable")
+            out.keys[n], out.item[n], out.offset[n] = keys[order], np.array([r[0] for r in own])[order], np.array([r[1] for r in own])[order]
+            out.seen[n] = np.zeros(1 << 20, bool)
+            out.seen[n][cls.slot(keys)] = True
+        return out
+
+    @staticmethod
+    def longer(keys: np.ndarray, points: np.ndarray) -> np.ndarray:
+        return (keys + points.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+
+    @staticmethod
+    def slot(keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(44)).astype(np.int64)
+
+    def hits(self, points: np.ndarray, overlap: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(item, place where it would begin, place of the gram) in runs of about
+        ``HITS``; a run begins ``overlap`` places before the end of the last one."""
+        keys = np.zeros(len(points), np.uint64)
+        for n in range(1, max(self.keys, default=0) + 1):
+            if len(points) < n:
+                return
+            keys = self.longer(keys[: len(points) - n + 1], points[n - 1 :])
+            if n not in self.keys:
+                continue
+            at = np.flatnonzero(self.seen[n][self.slot(keys)])
+            left = np.searchsorted(self.keys[n], keys[at], "left")
+            count = np.searchsorted(self.keys[n], keys[at], "right") - left
+            at, left, count = at[count > 0], left[count > 0], count[count > 0]
+            sums, lo = np.cumsum(count), 0
+            while lo < len(at):
+                done = sums[lo - 1] if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(sums, done + HITS, "right")), int(np.searchsorted(at, at[lo] + 2 * overlap, "right")))
+                c = count[lo:hi]
+                j = np.repeat(left[lo:hi] - (np.cumsum(c) - c), c) + np.arange(c.sum())
+                place = np.repeat(at[lo:hi], c)
+                yield self.item[n][j], place - self.offset[n][j], place
+                lo = len(at) if hi >= len(at) else max(lo + 1, int(np.searchsorted(at, at[hi] - overlap)))
+
+
+@dataclass
+class ShortItems:
+    """The items of a block that fit a machine word."""
+
+    pieces: Grams
+    letters: np.ndarray
+    #: Bits of an item where a letter stands: (items, letters + 1); the last column is of other letters.
+    bits: np.ndarray
+    length: np.ndarray
+    edits: np.ndarray
+
+    @classmethod
+    def build(cls, texts: list[str], plan: Plan) -> ShortItems:
+        rows = []
+        for i, t in enumerate(texts):
+            k = allowed(len(t), plan)
+            if len(t) <= SHORT and not k:
+                rows.append((i, -1, f" {t} "))
+            elif len(t) <= SHORT:
+                edges = [len(t) * j // (k + 1) for j in range(k + 2)]
+                rows += [(i, a, t[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        letters = np.unique(np.array([ord(c) for t in texts if len(t) <= SHORT for c in t], np.uint32))
+        bits = np.zeros((len(texts) if rows else 0, len(letters) + 1), np.uint64)
+        for i, t in enumerate(texts):
+            if len(t) <= SHORT:
+                for j, c in enumerate(t):
+                    bits[i, np.searchsorted(letters, ord(c))] |= np.uint64(1 << j)
+        return cls(Grams.build(rows), letters, bits, np.array([len(t) for t in texts], np.int64), np.array([allowed(len(t), plan) for t in texts], np.int64))
+
+    def near(self, points: np.ndarray) -> np.ndarray:
+        """(item, begin, end) of the stretches that hold an item within its edits: (n, 3)."""
+        if not self.pieces.keys:
+            return np.zeros((0, 3), np.int64)
+        letter = np.searchsorted(self.letters, points)
+        letter[letter == len(self.letters)] = 0
+        letter[self.letters[letter] != points] = len(self.letters)
+        out = [np.zeros((0, 3), np.int64)]
+        for item, begin, _ in self.pieces.hits(points):
+            width = self.edits[item] + 1
+            code = np.unique((item << 40) | (begin // width + (1 << 30)))
+            item = code >> 40
+            lo = ((code & ((1 << 40) - 1)) - (1 << 30)) * (self.edits[item] + 1) - self.edits[item]
+            hi = lo + self.length[item] + 3 * self.edits[item]
+            for a in range(0, len(item), 1 << 15):
+                i, x, y = item[a : a + (1 << 15)], lo[a : a + (1 << 15)], hi[a : a + (1 << 15)]
+                good = self._least(letter, i, x, y) <= self.edits[i]
+                out.append(np.stack([i[good], x[good], y[good]], 1))
+        return np.concatenate(out)
+
+    def _least(self, letter: np.ndarray, item: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """``edit_distance_within`` of many items and stretches at once."""
+        one, length = np.uint64(1), self.length[item]
+        top = (length - 1).astype(np.uint64)
+        pv, mv = np.full(len(item), ~np.uint64(0)), np.zeros(len(item), np.uint64)
+        score = length.copy()
+        best = score.copy()
+        for j in range(int((hi - lo).max(initial=0))):
+            at = lo + j
+            inside = (at >= 0) & (at < np.minimum(hi, len(letter)))
+            eq = np.where(inside, self.bits[item, letter[np.clip(at, 0, len(letter) - 1)]], np.uint64(0))
+            xv = eq | mv
+            xh = (((eq & pv) + pv) ^ pv) | eq
+            ph = mv | ~(xh | pv)
+            mh = pv & xh
+            score += ((ph >> top) & one).astype(np.int64) - ((mh >> top) & one).astype(np.int64)
+            ph, mh = ph << one, mh << one
+            pv, mv = mh | ~(xv | ph), ph & xv
+            best = np.minimum(best, score)
+        return best
+
+
 def edit_distance_within(pattern: str, text: str) -> tuple[int, int]:
     """Least edit distance between ``pattern`` and any substring of ``text``,
     and where the first such substring ends (bit-parallel, exact)."""
@@ -163,6 +320,7 @@ class ItemIndex:
     item: np.ndarray
     offset: np.ndarray
     seen: np.ndarray
+    short: ShortItems
 
     @classmethod
     def build(cls, rows: list[tuple], plan: Plan) -> ItemIndex:
@@ -187,7 +345,7 @@ class ItemIndex:
         seen = np.zeros(1 << 22, bool)
         seen[(keys >> np.uint64(42)).astype(np.int64)] = True
         texts = [normalised(r[1]) for r in rows]
-        return cls([r[0] for r in rows], [t for t, _ in texts], [len(b) for _, b in texts], more, keys[order], item[order], offset[order], seen)
+        return cls([r[0] for r in rows], [t for t, _ in texts], [len(b) for _, b in texts], more, keys[order], item[order], offset[order], seen, ShortItems.build([t for t, _ in texts], plan))
 
     def candidates(self, hashes: np.ndarray, first: np.ndarray, plan: Plan) -> set[tuple[int, int, int]]:
         """(text, item, word where the item would begin) for texts of a block."""
@@ -238,9 +396,17 @@ def verify(index: ItemIndex, begin: list[int], norm: str, item: int, word: int,
     slack = max(4, n // 3)
     lo = begin[min(max(0, word - slack), len(begin) - 1)]
     hi = word + n + slack
-    region = norm[lo : begin[hi] if hi < len(begin) else len(norm)]
-    distance, end = edit_distance_within(pattern, region)
-    return (distance, lo + end) if distance <= (1 - plan.threshold) * len(pattern) else None
+    return verify_at(pattern, norm, lo, begin[hi] if hi < len(begin) else len(norm), plan)
+
+
+def verify_at(pattern: str, norm: str, lo: int, hi: int, plan: Plan) -> tuple[int, int] | None:
+    """Distance and end of ``pattern`` between ``lo`` and ``hi`` of a text, if within the threshold."""
+    lo, most = max(0, lo), allowed(len(pattern), plan)
+    if not most:
+        at = f" {norm} ".find(f" {pattern} ", lo)
+        return (0, at + len(pattern)) if 0 <= at <= hi else None
+    distance, end = edit_distance_within(pattern, norm[lo:hi])
+    return (distance, lo + end) if distance <= most else None
 
 
 def _matches(index: ItemIndex, texts: list[str], plan: Plan) -> dict[tuple[int, int], tuple[int, int]]:
@@ -249,13 +415,19 @@ def _matches(index: ItemIndex, texts: list[str], plan: Plan) -> dict[tuple[int,
     found: dict[tuple[int, int], tuple[int, int]] = {}
     if not len(hashes) or not len(index.keys):
         return found
+    places = [(i, item, word, -1) for i, item, word in index.candidates(hashes, first, plan)]
+    points, start = normal_points(texts)
+    for item, lo, hi in index.short.near(points).tolist():
+        # a stretch may reach over the end of a text: each text that it touches is looked at
+        for i in range(max(0, int(np.searchsorted(start, lo, "right")) - 1), min(len(texts), int(np.searchsorted(start, hi, "left")))):
+            places.append((i, item, lo - int(start[i]), hi - int(start[i])))
     at, begin, norm = -1, [], ""
-    for i, item, word in sorted(index.candidates(hashes, first, plan)):
+    for i, item, a, b in sorted(places):
         if found.get((i, item), (1,))[0] == 0:
             continue
         if i != at:
             at, (norm, begin) = i, normalised(texts[i])
-        got = verify(index, begin, norm, item, word, plan)
+        got = verify(index, begin, norm, item, a, plan) if b == -1 else verify_at(index.texts[item], norm, a, b, plan) if b > 0 else None
         if got and ((i, item) not in found or got < found[i, item]):
             found[i, item] = got
     return found

@@ -165,6 +165,29 @@ def test_decontamination_recall():
     assert near > 80 and found >= 0.95 * near
 
 
+def test_decontamination_of_short_items():
+    """Items of 1 to 15 words are all found, verbatim and edited within the threshold."""
+    rng, plan = random.Random(4), decontamination.Plan()
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    items = [(n * 100 + j, " ".join(letters(rng.randint(1, 6)) for _ in range(n))) for n in range(1, 16) for j in range(8)]
+    index = decontamination.ItemIndex.build(items, plan)
+    docs = [" ".join([*(letters(5) for _ in range(30)), t.upper(), *(letters(5) for _ in range(30))]) for _, t in items]
+    got = decontamination._matches(index, docs, plan)
+    assert all(got[i, i][0] == 0 for i in range(len(items)))
+    edited, want = [], []
+    for _, t in items:
+        for j in rng.sample(range(len(t)), len(t) // 5):
+            t = t[:j] + ("q" if t[j] != "q" else "z") + t[j + 1 :] if t[j] != " " else t
+        edited.append(f"{letters(5)} {letters(7)} {t} {letters(5)}")
+    got = decontamination._matches(index, edited, plan)
+    for i, doc in enumerate(edited):
+        for j, text in enumerate(index.texts):
+            distance, _ = decontamination.edit_distance_within(text, doc)
+            if 5 <= len(text) <= decontamination.SHORT:
+                assert ((i, j) in got) == (distance <= len(text) // 5)
+    assert decontamination._matches(decontamination.ItemIndex.build([(1, "cat")], plan), ["concatenate", "a Cat!", "ca", "t"], plan) == {(1, 0): (0, 5)}
+
+
 def test_edit_distance_equals_the_table():
     rng = random.Random(1)
     for _ in range(200):
