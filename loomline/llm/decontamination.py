@@ -20,6 +20,10 @@ at most k edits one of k + 1 pieces of the item stands in the document
 unchanged, so each place of a piece is a candidate, which a bit-parallel
 distance in numpy sifts.  Items too short for any edit match as whole words.
 
+Edits of single characters leave few whole words, so longer items have further
+candidates from their runs of ``gram`` characters: where a band of diagonals
+(as wide as the edits allowed) holds ``least_grams`` of them.
+
 Each candidate is verified exactly: the least edit distance, in characters of
 the normalised text, between the item and any substring of the region.
 
@@ -37,6 +41,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import ClassVar
 
 import numpy as np
 import pandas as pd
@@ -68,6 +73,12 @@ class Plan:
     #: Words that a window from an item's anchor holds at least (shorter items: the whole item).
     span: int = 12
     seed: int = 17
+    #: Characters of a gram: a fifth edited at random leaves an eighth of them.
+    gram: int = 9
+
+    def least_grams(self, length: np.ndarray) -> np.ndarray:
+        """Grams in a band that make a candidate: half of what is left at a fifth edited at random."""
+        return np.maximum(2, length // 16)
 
     def sampled(self) -> np.ndarray:
         """Output steps of each sample: (walks, samples, bits).  Each comes from its
@@ -156,6 +167,7 @@ def normal_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 class Grams:
     """Grams of items, by length: sorted keys, and item and offset of each."""
 
+    BASE: ClassVar[int] = 0xD6E8FEB86659FD93
     keys: dict[int, np.ndarray]
     item: dict[int, np.ndarray]
     offset: dict[int, np.ndarray]
@@ -179,7 +191,19 @@ class Grams:
 
     @staticmethod
     def longer(keys: np.ndarray, points: np.ndarray) -> np.ndarray:
-        return (keys + points.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        return (keys + points.astype(np.uint64) + np.uint64(1)) * np.uint64(Grams.BASE)
+
+    @classmethod
+    def rolled(cls, letters: np.ndarray, n: int) -> np.ndarray:
+        """Keys of all grams of ``n`` from those of single letters, by doubling."""
+        keys, size = letters, 1
+        for bit in bin(n)[3:]:
+            keys = keys[: len(keys) - size] * np.uint64(pow(cls.BASE, size, 1 << 64)) + keys[size:]
+            size *= 2
+            if bit == "1":
+                keys = keys[: len(keys) - 1] * np.uint64(cls.BASE) + letters[size:]
+                size += 1
+        return keys
 
     @staticmethod
     def slot(keys: np.ndarray) -> np.ndarray:
@@ -188,13 +212,11 @@ class Grams:
     def hits(self, points: np.ndarray, overlap: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(item, place where it would begin, place of the gram) in runs of about
         ``HITS``; a run begins ``overlap`` places before the end of the last one."""
-        keys = np.zeros(len(points), np.uint64)
-        for n in range(1, max(self.keys, default=0) + 1):
+        letters = self.longer(np.zeros(len(points), np.uint64), points)
+        for n in self.keys:
             if len(points) < n:
                 return
-            keys = self.longer(keys[: len(points) - n + 1], points[n - 1 :])
-            if n not in self.keys:
-                continue
+            keys = self.rolled(letters, n)
             at = np.flatnonzero(self.seen[n][self.slot(keys)])
             left = np.searchsorted(self.keys[n], keys[at], "left")
             count = np.searchsorted(self.keys[n], keys[at], "right") - left
@@ -281,6 +303,41 @@ class ShortItems:
         return best
 
 
+@dataclass
+class LongItems:
+    """The grams of the items that do not fit a machine word."""
+
+    grams: Grams
+    length: np.ndarray
+    edits: np.ndarray
+
+    @classmethod
+    def build(cls, texts: list[str], plan: Plan) -> LongItems:
+        rows = [(i, j, t[j : j + plan.gram]) for i, t in enumerate(texts) if len(t) > SHORT for j in range(len(t) - plan.gram + 1)]
+        return cls(Grams.build(rows), np.array([len(t) for t in texts], np.int64), np.array([allowed(len(t), plan) for t in texts], np.int64))
+
+    def near(self, points: np.ndarray, plan: Plan) -> np.ndarray:
+        """(item, begin, end) of the stretches that may hold an item: (n, 3)."""
+        out = [np.zeros((0, 3), np.int64)]
+        if not self.grams.keys:
+            return out[0]
+        need, base = plan.least_grams(self.length), 1 << 30
+        for item, begin, _ in self.grams.hits(points, 2 * int(self.length.max())):
+            code = (item << 40) | (begin + base)
+            order = np.argsort(code, kind="stable")
+            code, item, begin = code[order], item[order], begin[order]
+            # hits of an item on neighbouring diagonals, the first of each band
+            many = np.searchsorted(code, code + self.edits[item], "right") - np.arange(len(code)) >= need[item]
+            first = np.flatnonzero(many)
+            if not len(first):
+                continue
+            band = np.flatnonzero(np.concatenate(([True], code[first][1:] > code[first][:-1] + self.edits[item[first]][:-1])))
+            at, to = first[band], first[np.append(band[1:], len(first)) - 1]
+            k = self.edits[item[at]]
+            out.append(np.stack([item[at], begin[at] - k, begin[to] + self.length[item[at]] + 2 * k], 1))
+        return np.concatenate(out)
+
+
 def edit_distance_within(pattern: str, text: str) -> tuple[int, int]:
     """Least edit distance between ``pattern`` and any substring of ``text``,
     and where the first such substring ends (bit-parallel, exact)."""
@@ -321,6 +378,7 @@ class ItemIndex:
     offset: np.ndarray
     seen: np.ndarray
     short: ShortItems
+    long: LongItems
 
     @classmethod
     def build(cls, rows: list[tuple], plan: Plan) -> ItemIndex:
@@ -345,7 +403,7 @@ class ItemIndex:
         seen = np.zeros(1 << 22, bool)
         seen[(keys >> np.uint64(42)).astype(np.int64)] = True
         texts = [normalised(r[1]) for r in rows]
-        return cls([r[0] for r in rows], [t for t, _ in texts], [len(b) for _, b in texts], more, keys[order], item[order], offset[order], seen, ShortItems.build([t for t, _ in texts], plan))
+        return cls([r[0] for r in rows], [t for t, _ in texts], [len(b) for _, b in texts], more, keys[order], item[order], offset[order], seen, ShortItems.build([t for t, _ in texts], plan), LongItems.build([t for t, _ in texts], plan))
 
     def candidates(self, hashes: np.ndarray, first: np.ndarray, plan: Plan) -> set[tuple[int, int, int]]:
         """(text, item, word where the item would begin) for texts of a block."""
@@ -357,9 +415,11 @@ class ItemIndex:
             starts, owner = at[lo : lo + step], text[lo : lo + step]
             keys = walk_keys(hashes, first[owner + 1], starts, plan)
             for row in keys:
-                for k in np.flatnonzero(self.seen[(row >> np.uint64(42)).astype(np.int64)]):
-                    a, b = np.searchsorted(self.keys, row[k], "left"), np.searchsorted(self.keys, row[k], "right")
-                    for j in range(a, b):
+                seen = np.flatnonzero(self.seen[(row >> np.uint64(42)).astype(np.int64)])
+                left, right = np.searchsorted(self.keys, row[seen], "left"), np.searchsorted(self.keys, row[seen], "right")
+                for x in np.flatnonzero(right > left):
+                    k = seen[x]
+                    for j in range(left[x], right[x]):
                         out.add((int(owner[k]), int(self.item[j]), int(starts[k] - first[owner[k]] - self.offset[j])))
         return out
 
@@ -417,7 +477,7 @@ def _matches(index: ItemIndex, texts: list[str], plan: Plan) -> dict[tuple[int,
         return found
     places = [(i, item, word, -1) for i, item, word in index.candidates(hashes, first, plan)]
     points, start = normal_points(texts)
-    for item, lo, hi in index.short.near(points).tolist():
+    for item, lo, hi in np.concatenate([index.short.near(points), index.long.near(points, plan)]).tolist():
         # a stretch may reach over the end of a text: each text that it touches is looked at
         for i in range(max(0, int(np.searchsorted(start, lo, "right")) - 1), min(len(texts), int(np.searchsorted(start, hi, "left")))):
             places.append((i, item, lo - int(start[i]), hi - int(start[i])))

@@ -188,6 +188,21 @@ def test_decontamination_of_short_items():
     assert decontamination._matches(decontamination.ItemIndex.build([(1, "cat")], plan), ["concatenate", "a Cat!", "ca", "t"], plan) == {(1, 0): (0, 5)}
 
 
+def test_decontamination_of_edited_letters():
+    """Letters edited all over a longer item: found in 19 of 20 cases at least, at every share."""
+    rng, plan = random.Random(5), decontamination.Plan()
+    items = [(i, prose(n, 3000 + i)) for i, n in enumerate([18, 25, 40, 60] * 25)]
+    index = decontamination.ItemIndex.build(items, plan)
+    for share in (0.05, 0.1, 0.15, 0.19):
+        docs = []
+        for i, t in items:
+            for j in rng.sample(range(len(t)), int(share * len(t))):
+                t = t[:j] + rng.choice("qxzw") + t[j + 1 :] if t[j] != " " else t
+            docs.append(f"{prose(30, 5000 + i)} {t} {prose(30, 9000 + i)}")
+        got = decontamination._matches(index, docs, plan)
+        assert sum((i, i) in got for i in range(len(items))) >= 95
+
+
 def test_edit_distance_equals_the_table():
     rng = random.Random(1)
     for _ in range(200):
