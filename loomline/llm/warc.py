@@ -6,9 +6,15 @@ it.  Every record is its own gzip member, one file per partition.
 
 Reading: each record is checked (gzip checksum, version line, header syntax,
 Content-Length, closing blank lines, payload digest).  After a failed check the
-reader searches for the next valid member (compressed files) or version line
-(plain files), goes on from there, and logs the bytes between as a gap with the
-reason.  A file is read in chunks; memory follows the largest record.
+reader searches for the next version line, in the decompressed bytes of the
+member (also of a member that is cut or damaged, as far as it decompresses) or
+in the plain file, then for the next member, goes on from there, and logs the
+bytes between as a gap with the reason.  Offset and length of a record of a
+compressed file are those of its member; a gap inside a member has its offset
+and the length of the decompressed bytes that are lost.  A damaged member is
+logged as a gap as a whole, too; of its records those that state a digest are
+taken, but not one that ends where a cut member does.  A file is read in chunks; memory
+follows the largest record or member.
 
 Defined results: a null payload is empty; payloads of ``min_bytes`` at least
 are stored once, smaller ones always whole; rows that repeat the id of their
@@ -36,8 +42,9 @@ from ._common import as_id, small_batches, tidy, written
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAGIC = b"\x1f\x8b\x08"
-VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+VERSION = re.compile(rb"WARC/[0-9]{1,3}\.[0-9]{1,3}\r\n")
 CHUNK = 1 << 18
+CUT = "member truncated"
 #: A salted key spreads a payload that a third of all rows hold over so many tasks.
 SALTS = 16
 
@@ -169,21 +176,37 @@ class Source:
             keep, start = (keep + data)[-(len(what) - 1) :], start + len(data)
         return self.size
 
-    def member(self, at: int) -> tuple[bytes, int]:
-        """The gzip member at ``at`` and its end; its checksum is verified."""
+    def member(self, at: int) -> tuple[bytes, int, str]:
+        """The gzip member at ``at``, its end, and why it is damaged, if it is:
+        then as far as it decompresses.  Its checksum is verified."""
         z, out, p = zlib.decompressobj(wbits=31), [], at
         while not z.eof:
             data = self.chunk(p)
             if not data:
-                raise Bad("member truncated")
+                return b"".join(out), p, CUT
             try:
                 out.append(z.decompress(data))
-            except zlib.error as error:
-                raise Bad("bad gzip member") from error
+            except zlib.error:
+                return b"".join([*out, self._whole_part(at, p, data)]), p, "bad gzip member"
             p += len(data)
-            if len(out) == 1 and out[0][:7] and not out[0].startswith(b"WARC/1."[: len(out[0][:7])]):
+            if len(out) == 1 and out[0][:5] and not out[0].startswith(b"WARC/"[: len(out[0][:5])]) and b"WARC/" not in out[0]:
                 raise Bad("no version line")
-        return b"".join(out), p - len(z.unused_data)
+        return b"".join(out), p - len(z.unused_data), ""
+
+    def _whole_part(self, at: int, bad: int, data: bytes) -> bytes:
+        """What the chunk ``data`` at ``bad`` gives before the error, byte by byte."""
+        z, p = zlib.decompressobj(wbits=31), at
+        while p < bad:
+            piece = self.file.read_at(min(CHUNK, bad - p), p)
+            z.decompress(piece)
+            p += len(piece)
+        out = []
+        try:
+            for i in range(len(data)):
+                out.append(z.decompress(data[i : i + 1]))
+        except zlib.error:
+            pass
+        return b"".join(out)
 
     def plain(self, at: int) -> tuple[bytes, int]:
         """The bytes of the plain record at ``at``, as far as its headers say."""
@@ -197,35 +220,69 @@ class Source:
         return data, at
 
 
+def inside(data: bytes, why: str) -> Iterator[tuple]:
+    """('record', headers, block) and ('gap', length, reason) of a member's bytes.
+    ``why`` the member is damaged, if it is: then a record needs a digest."""
+    p, bad, reason = 0, -1, ""
+    while p < len(data):
+        try:
+            headers, block, end = parse_record(data, p)
+            check_digest(headers, block)
+            if why and (not has_digest(headers) or why == CUT and end == len(data)):
+                raise Bad(why)
+        except Bad as error:
+            if bad < 0:
+                bad, reason = p, str(error)
+            m = VERSION.search(data, p + 1)
+            p = m.start() if m else len(data)
+            continue
+        if bad >= 0:
+            yield "gap", p - bad, reason
+            bad = -1
+        yield "record", headers, block
+        p = end
+    if bad >= 0:
+        yield "gap", len(data) - bad, reason
+
+
+def has_digest(headers: dict[str, str]) -> bool:
+    """Whether ``check_digest`` compares the block."""
+    return headers.get("warc-type") != "revisit" and headers.get("warc-payload-digest", "").startswith("sha1:")
+
+
 def salvage(source: Source) -> Iterator[tuple]:
     """('record', offset, length, headers, block) and ('gap', offset, length, reason, b'')."""
     at, bad, reason = 0, -1, ""
-    compressed = source.chunk(0)[:2] == MAGIC[:2] or source.find(MAGIC, 0) < source.find(b"WARC/1.", 0)
+    compressed = source.chunk(0)[:2] == MAGIC[:2] or source.find(MAGIC, 0) < source.find(b"WARC/", 0)
     while at < source.size:
         try:
-            found = []
             if compressed:
-                data, end = source.member(at)
-                p = 0
-                while p < len(data):
-                    headers, block, p = parse_record(data, p)
-                    check_digest(headers, block)
-                    found.append((headers, block))
+                data, end, why = source.member(at)
+                found = list(inside(data, why))
+                if not any(x[0] == "record" for x in found):
+                    raise Bad(why or (found[0][2] if found else "no version line"))
             else:
                 data, _ = source.plain(at)
                 headers, block, n = parse_record(data)
                 check_digest(headers, block)
-                found, end = [(headers, block)], at + n
+                found, end, why = [("record", headers, block)], at + n, ""
         except Bad as error:
             if bad < 0:
                 bad, reason = at, str(error)
-            at = source.find(MAGIC if compressed else b"WARC/1.", at + 1)
+            at = source.find(MAGIC if compressed else b"WARC/", at + 1)
             continue
         if bad >= 0:
             yield "gap", bad, at - bad, reason, b""
             bad = -1
-        for headers, block in found:
-            yield "record", at, end - at, headers, block
+        if why:  # the bytes behind the damage may hold further members
+            end = source.find(MAGIC, at + 1)
+        for kind, what, more in found:
+            if kind == "record":
+                yield "record", at, end - at, what, more
+            else:
+                yield "gap", at, what, more, b""
+        if why:
+            yield "gap", at, end - at, why, b""
         at = end
     if bad >= 0:
         yield "gap", bad, source.size - bad, reason, b""

@@ -335,6 +335,37 @@ def test_warc_plain_files(spark, tmp_path):
     assert [(r.length, r.reason) for r in got if r.kind == "gap"] == [(6, "no version line"), (len(bad), "payload digest differs"), (2, "no version line")]
 
 
+def test_warc_salvage_inside_a_member():
+    """A file compressed as one stream keeps its good records, whatever one of them or its end is like."""
+    import base64
+    import gzip
+    import hashlib
+
+    import pyarrow as pa
+
+    def read(data):
+        got = list(warc.salvage(warc.Source(pa.BufferReader(data), len(data))))
+        return [warc.payload_of(g[3], g[4]) for g in got if g[0] == "record"], [g[3] for g in got if g[0] == "gap"]
+
+    digest = lambda b: base64.b32encode(hashlib.sha1(b).digest()).decode()
+    rng = random.Random(6)
+    bodies = [rng.randbytes(3000) for _ in range(5)]
+    good = [warc.record(i, f"http://h/{i}", p, digest(p), None) for i, p in enumerate(bodies)]
+    lie = warc.record(9, "http://h/9", b"lie", digest(b"truth"), None)
+    broken = good[2].replace(b"Content-Length: ", b"Content-Length ")
+    assert read(gzip.compress(b"".join([*good[:2], lie, *good[2:]]))) == (bodies, ["payload digest differs"])
+    assert read(gzip.compress(b"".join([*good[:2], broken, *good[3:]])))[0] == bodies[:2] + bodies[3:]
+    whole = gzip.compress(b"".join(good))
+    got, gaps = read(whole[: len(whole) * 7 // 10])
+    assert got == bodies[:3] and gaps
+    hurt = bytearray(whole)
+    hurt[-6] ^= 0xFF  # the checksum
+    got, gaps = read(bytes(hurt) + gzip.compress(good[0]))
+    assert got == [*bodies, bodies[0]] and gaps == ["bad gzip member"]
+    old = [g.replace(b"WARC/1.1", b"WARC/0.18", 1) for g in good]
+    assert read(gzip.compress(b"".join(old))) == (bodies, []) == read(b"".join(old))
+
+
 def test_small_helpers(spark):
     assert fresh(spark.range(1).withColumnRenamed("id", "A"), "a") == "a_1"
     v = np.array([5, 6, 7, 5, 6, 7], np.uint32)
