@@ -1,39 +1,43 @@
 """Benchmark decontamination by edit distance: CGK embedding and bit-sampling LSH.
 
-The CGK random walk reads a word sequence x: at step t it outputs the current
-word and moves on to the next one or not, as a random bit of (t, word) says.
-Sequences at a small edit distance fall into step again soon after each edit,
-so their outputs have a small Hamming distance, and bit sampling over output
-steps makes equal keys likely.
-
-Walks start at anchors, words whose hash is 0 modulo ``anchor_rate``: an
-item's walk from an anchor covers the rest of an item-sized window, and a
-document that holds the item has the same anchor unless that word was edited.
-Every anchor of an item gets keys in ``walks`` independent walks with
-``samples`` bit samples each, which gives the target recall; where an item has
-fewer than two, its first words become anchors, in every document too.
-All windows of all documents are embedded; keys of documents are looked up
-among the items' keys, which are broadcast in blocks of ``ITEM_BLOCK`` items.
+The CGK random walk reads a character sequence x: at step t it outputs the
+current character and moves on to the next one or not, as a random bit of
+(t, character) says.  Sequences at a small edit distance fall into step again
+soon after each edit, so their outputs have a small Hamming distance, and bit
+sampling over the output steps makes equal keys likely.
+
+A walk starts at every character of every document and of every item, so no
+window is left out.  Of its ``steps`` outputs ``samples`` make a key.  One
+walk over a whole item would keep no key once a fifth of it is edited; so the
+walks are short, and an item-sized window is embedded by the walks from all
+its characters: these are the repetitions.  Where equal keys name an item and
+the place where it would begin, places within as many characters as edits are
+allowed belong to one window, and a window with ``least_hits`` keys of the
+item is a candidate.  That number lies at about a third of what a fifth of the
+letters edited at random leaves, which sets the recall (tests and the README
+have it for letter and word edits).
 
 Items of at most ``SHORT`` characters are looked up without loss instead: with
 at most k edits one of k + 1 pieces of the item stands in the document
 unchanged, so each place of a piece is a candidate, which a bit-parallel
 distance in numpy sifts.  Items too short for any edit match as whole words.
 
-Edits of single characters leave few whole words, so longer items have further
-candidates from their runs of ``gram`` characters: where a band of diagonals
-(as wide as the edits allowed) holds ``least_grams`` of them.
-
 Each candidate is verified exactly: the least edit distance, in characters of
 the normalised text, between the item and any substring of the region.
+Indexes of items are broadcast in blocks of ``ITEM_BLOCK`` items and
+``ITEM_CHARS`` characters at most; further blocks are further passes.
 
 A document is contaminated by an item if that distance is at most
 ``1 - threshold`` of the item's length.  Words are lower-cased runs of
 letters, digits and underscores, joined by one space.
 
 Defined results: null and empty texts match nothing; items without a word
-match nothing; repeated documents and items each get their own rows; an empty
-benchmark or table gives no row; a null id stays null.
+match nothing; repeated documents and items each get their own rows; of
+several places of an item in a document that with the least distance counts,
+of these the first; very long texts are searched whole, in blocks of their
+own; an empty benchmark or table gives no row; a null id stays null.  Only the
+named columns are read, and ``keep_clean`` passes all others on, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -49,93 +53,73 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import as_id, blocks, code_points, fresh, lower_words, mix64, release, small_batches, tidy, word_table
+from ._common import as_id, blocks, code_points, fresh, mix64, release, small_batches, tidy, word_table
 
-#: Items whose keys are broadcast together.
-ITEM_BLOCK = 20_000
+#: Items, and characters of items, whose keys are broadcast together (some 20 bytes a character).
+ITEM_BLOCK, ITEM_CHARS = 20_000, 6_000_000
 WORD = re.compile(r"\w+")
 #: Characters of the items that one machine word holds.
 SHORT = 64
-#: Hits of grams that are handled together.
-HITS = 1 << 21
+#: Hits of keys that are handled together, and walks that take their steps together (they fit a cache).
+HITS, STRIDE = 1 << 21, 1 << 15
 
 
 @dataclass(frozen=True)
 class Plan:
-    """Parameters of the search.  A walk of ``steps`` reads about half as many words."""
+    """Parameters of the search.  A walk of ``steps`` reads about two thirds as many characters."""
 
     threshold: float = 0.8
-    anchor_rate: int = 4
-    walks: int = 3
-    samples: int = 6
-    bits: int = 6
-    steps: int = 20
-    #: Words that a window from an item's anchor holds at least (shorter items: the whole item).
-    span: int = 12
-    seed: int = 17
-    #: Characters of a gram: a fifth edited at random leaves an eighth of them.
-    gram: int = 9
-
-    def least_grams(self, length: np.ndarray) -> np.ndarray:
-        """Grams in a band that make a candidate: half of what is left at a fifth edited at random."""
-        return np.maximum(2, length // 16)
-
-    def sampled(self) -> np.ndarray:
-        """Output steps of each sample: (walks, samples, bits).  Each comes from its
-        own stretch of the walk, so that they seldom show the same word twice."""
-        rng = np.random.default_rng(self.seed)
-        edges = np.linspace(0, self.steps, self.bits + 1).astype(int)
-        return np.stack([[[rng.integers(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True)] for _ in range(self.samples)] for _ in range(self.walks)])
-
-
-def anchors(words: np.ndarray, plan: Plan, more: np.ndarray) -> np.ndarray:
-    """Positions where walks start; ``more``: further words that are anchors."""
-    hit = (words >> np.uint64(40)) % np.uint64(plan.anchor_rate) == 0
-    if len(more):
-        at = np.minimum(np.searchsorted(more, words), len(more) - 1)
-        hit |= more[at] == words
-    return np.flatnonzero(hit)
-
-
-def item_anchors(words: np.ndarray, plan: Plan, more: np.ndarray) -> np.ndarray:
-    """Anchors of an item that leave a window of ``span`` words."""
-    at = anchors(words, plan, more)
-    return at[at <= max(0, len(words) - plan.span)]
-
-
-def walk_keys(words: np.ndarray, ends: np.ndarray, starts: np.ndarray, plan: Plan) -> np.ndarray:
-    """Keys of walks from ``starts``: (walks * samples, starts).  ``ends``: for
-    each start, where its text ends; beyond it the walk reads a blank."""
-    padded = np.append(words, np.uint64(0))
-    out = np.empty((plan.walks * plan.samples, len(starts)), np.uint64)
-    sampled = plan.sampled()
-    for w in range(plan.walks):
-        # one random bit per step and word: the bits of a second hash of the word
-        bit = mix64(padded + np.uint64((0x9E3779B97F4A7C15 * (2 * w + 1)) & (2**64 - 1)))
-        at = starts.copy()
-        keys = np.full((plan.samples, len(starts)), np.uint64(w + 1))
-        for t in range(int(sampled[w].max()) + 1):
-            inside = np.minimum(at, ends)
-            use = [s for s in range(plan.samples) if t in sampled[w, s]]
-            if use:
-                symbol = np.where(at < ends, padded[inside], np.uint64(0))
-                for s in use:
-                    keys[s] = (keys[s] ^ symbol) * np.uint64(0xD6E8FEB86659FD93)
-                    keys[s] ^= keys[s] >> np.uint64(32)
-            at = inside + ((bit[inside] >> np.uint64(t % 64)) & np.uint64(1)).astype(np.int64)
-        for s in range(plan.samples):
-            out[w * plan.samples + s] = keys[s] * np.uint64(2 * s + 3)
-    return out
-
-
-def normalised(text: str | None) -> tuple[str, list[int]]:
-    """Words of the lower-cased text joined by spaces, and where each begins there."""
-    words = WORD.findall(_simple_lower(text or ""))
-    begin, n = [], 0
-    for w in words:
-        begin.append(n)
-        n += len(w) + 1
-    return " ".join(words), begin
+    steps: int = 16
+    samples: int = 10
+    seed: int = 2
+
+    def sampled(self) -> list[int]:
+        """The output steps that make a key."""
+        return sorted(np.random.default_rng(self.seed).choice(self.steps, self.samples, replace=False).tolist())
+
+    def least_hits(self, length: np.ndarray) -> np.ndarray:
+        """Equal keys in a window that make a candidate."""
+        return np.maximum(2, length // 24)
+
+
+class Walks:
+    """CGK walks over code points: one from every character."""
+
+    def __init__(self, plan: Plan) -> None:
+        self.plan, self.sampled = plan, set(plan.sampled())
+        # one random bit per step and character: the bits of a hash of the character; but a
+        # walk that stays in an even step moves on in the next, so that no key reads few characters
+        random, even = mix64(np.arange(0x110000, dtype=np.uint64) + np.uint64(plan.seed << 24)), np.uint64(0x5555555555555555)
+        self.bits = (random & even | (~random & even) << np.uint64(1)).view(np.int64)
+
+    def __call__(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The key of the walk from each character, and where it ends; beyond
+        the last character a walk reads blanks."""
+        n = len(points)
+        padded = np.concatenate([points, np.zeros(self.plan.steps, np.uint32)])
+        bit, symbol = self.bits[padded], padded.astype(np.uint64) + np.uint64(1)
+        keys, ends = np.zeros(n, np.uint64), np.empty(n, np.int64)
+        multiplier = np.uint64(0x9E3779B97F4A7C15)
+        for lo in range(0, n, STRIDE):
+            at = np.arange(lo, min(n, lo + STRIDE))
+            key, move, seen = keys[lo : lo + STRIDE], np.empty(len(at), np.int64), np.empty(len(at), np.uint64)
+            for t in range(self.plan.steps):
+                if t in self.sampled:
+                    key ^= symbol.take(at, out=seen, mode="clip")
+                    key *= multiplier
+                bit.take(at, out=move, mode="clip")
+                move >>= t
+                move &= 1
+                at += move
+            ends[lo : lo + STRIDE] = at
+        keys ^= keys >> np.uint64(29)
+        keys *= multiplier
+        return keys, ends
+
+
+def normalised(text: str | None) -> str:
+    """Words of the lower-cased text joined by spaces."""
+    return " ".join(WORD.findall(_simple_lower(text or "")))
 
 
 def _simple_lower(text: str) -> str:
@@ -164,38 +148,68 @@ def normal_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 @dataclass
-class Grams:
-    """Grams of items, by length: sorted keys, and item and offset of each."""
+class Lookup:
+    """Sorted keys with the item and the offset of each, and a filter of 2**bits slots before them."""
 
-    BASE: ClassVar[int] = 0xD6E8FEB86659FD93
-    keys: dict[int, np.ndarray]
-    item: dict[int, np.ndarray]
-    offset: dict[int, np.ndarray]
-    seen: dict[int, np.ndarray]
+    keys: np.ndarray
+    item: np.ndarray
+    offset: np.ndarray
+    bits: int
+    seen: np.ndarray
 
     @classmethod
-    def build(cls, rows: list[tuple[int, int, str]]) -> Grams:
-        """From (item, offset, gram)."""
-        out = cls({}, {}, {}, {})
+    def build(cls, keys: np.ndarray, item: np.ndarray, offset: np.ndarray) -> Lookup:
+        order, bits = np.argsort(keys, kind="stable"), min(26, max(18, int(16 * len(keys)).bit_length()))
+        out = cls(keys[order], item[order], offset[order], bits, np.zeros(1 << bits, bool))
+        out.seen[out.slot(keys)] = True
+        return out
+
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def hits(self, keys: np.ndarray, overlap: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(item, place where it would begin) of equal keys, ``keys`` being those
+        of all places, in runs of about ``HITS``; a run begins ``overlap`` places
+        before the end of the last one."""
+        at = np.flatnonzero(self.seen[self.slot(keys)])
+        found = keys[at]
+        left = np.searchsorted(self.keys, found, "left")
+        some = self.keys[np.minimum(left, len(self.keys) - 1)] == found
+        at, left, found = at[some], left[some], found[some]
+        count = np.searchsorted(self.keys, found, "right") - left
+        sums, lo = np.cumsum(count), 0
+        while lo < len(at):
+            done = sums[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(sums, done + HITS, "right")), int(np.searchsorted(at, at[lo] + 2 * overlap, "right")))
+            c = count[lo:hi]
+            j = np.repeat(left[lo:hi] - (np.cumsum(c) - c), c) + np.arange(c.sum())
+            yield self.item[j], np.repeat(at[lo:hi], c) - self.offset[j]
+            lo = len(at) if hi >= len(at) else max(lo + 1, int(np.searchsorted(at, at[hi] - overlap)))
+
+
+class Pieces:
+    """Exact strings of items, a ``Lookup`` for each length."""
+
+    BASE: ClassVar[int] = 0xD6E8FEB86659FD93
+
+    def __init__(self, rows: list[tuple[int, int, str]]) -> None:
+        """From (item, offset, string)."""
+        self.by_length: dict[int, Lookup] = {}
         for n in sorted({len(g) for _, _, g in rows}):
             own = [r for r in rows if len(r[2]) == n]
             points = np.frombuffer("".join(g for _, _, g in own).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, n)
             keys = np.zeros(len(own), np.uint64)
             for j in range(n):
-                keys = cls.longer(keys, points[:, j])
-            order = np.argsort(keys, kind="stable")
-            out.keys[n], out.item[n], out.offset[n] = keys[order], np.array([r[0] for r in own])[order], np.array([r[1] for r in own])[order]
-            out.seen[n] = np.zeros(1 << 20, bool)
-            out.seen[n][cls.slot(keys)] = True
-        return out
+                keys = self.longer(keys, points[:, j])
+            self.by_length[n] = Lookup.build(keys, np.array([r[0] for r in own]), np.array([r[1] for r in own]))
 
-    @staticmethod
-    def longer(keys: np.ndarray, points: np.ndarray) -> np.ndarray:
-        return (keys + points.astype(np.uint64) + np.uint64(1)) * np.uint64(Grams.BASE)
+    @classmethod
+    def longer(cls, keys: np.ndarray, points: np.ndarray) -> np.ndarray:
+        return (keys + points.astype(np.uint64) + np.uint64(1)) * np.uint64(cls.BASE)
 
     @classmethod
     def rolled(cls, letters: np.ndarray, n: int) -> np.ndarray:
-        """Keys of all grams of ``n`` from those of single letters, by doubling."""
+        """Keys of all strings of ``n`` from those of single letters, by doubling."""
         keys, size = letters, 1
         for bit in bin(n)[3:]:
             keys = keys[: len(keys) - size] * np.uint64(pow(cls.BASE, size, 1 << 64)) + keys[size:]
@@ -205,38 +219,18 @@ class Grams:
                 size += 1
         return keys
 
-    @staticmethod
-    def slot(keys: np.ndarray) -> np.ndarray:
-        return (keys >> np.uint64(44)).astype(np.int64)
-
-    def hits(self, points: np.ndarray, overlap: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(item, place where it would begin, place of the gram) in runs of about
-        ``HITS``; a run begins ``overlap`` places before the end of the last one."""
+    def hits(self, points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         letters = self.longer(np.zeros(len(points), np.uint64), points)
-        for n in self.keys:
-            if len(points) < n:
-                return
-            keys = self.rolled(letters, n)
-            at = np.flatnonzero(self.seen[n][self.slot(keys)])
-            left = np.searchsorted(self.keys[n], keys[at], "left")
-            count = np.searchsorted(self.keys[n], keys[at], "right") - left
-            at, left, count = at[count > 0], left[count > 0], count[count > 0]
-            sums, lo = np.cumsum(count), 0
-            while lo < len(at):
-                done = sums[lo - 1] if lo else 0
-                hi = max(lo + 1, int(np.searchsorted(sums, done + HITS, "right")), int(np.searchsorted(at, at[lo] + 2 * overlap, "right")))
-                c = count[lo:hi]
-                j = np.repeat(left[lo:hi] - (np.cumsum(c) - c), c) + np.arange(c.sum())
-                place = np.repeat(at[lo:hi], c)
-                yield self.item[n][j], place - self.offset[n][j], place
-                lo = len(at) if hi >= len(at) else max(lo + 1, int(np.searchsorted(at, at[hi] - overlap)))
+        for n, known in self.by_length.items():
+            if len(points) >= n:
+                yield from known.hits(self.rolled(letters, n))
 
 
 @dataclass
 class ShortItems:
     """The items of a block that fit a machine word."""
 
-    pieces: Grams
+    pieces: Pieces
     letters: np.ndarray
     #: Bits of an item where a letter stands: (items, letters + 1); the last column is of other letters.
     bits: np.ndarray
@@ -259,17 +253,17 @@ class ShortItems:
             if len(t) <= SHORT:
                 for j, c in enumerate(t):
                     bits[i, np.searchsorted(letters, ord(c))] |= np.uint64(1 << j)
-        return cls(Grams.build(rows), letters, bits, np.array([len(t) for t in texts], np.int64), np.array([allowed(len(t), plan) for t in texts], np.int64))
+        return cls(Pieces(rows), letters, bits, np.array([len(t) for t in texts], np.int64), np.array([allowed(len(t), plan) for t in texts], np.int64))
 
     def near(self, points: np.ndarray) -> np.ndarray:
         """(item, begin, end) of the stretches that hold an item within its edits: (n, 3)."""
-        if not self.pieces.keys:
+        if not self.pieces.by_length:
             return np.zeros((0, 3), np.int64)
         letter = np.searchsorted(self.letters, points)
         letter[letter == len(self.letters)] = 0
         letter[self.letters[letter] != points] = len(self.letters)
         out = [np.zeros((0, 3), np.int64)]
-        for item, begin, _ in self.pieces.hits(points):
+        for item, begin in self.pieces.hits(points):
             width = self.edits[item] + 1
             code = np.unique((item << 40) | (begin // width + (1 << 30)))
             item = code >> 40
@@ -305,35 +299,42 @@ class ShortItems:
 
 @dataclass
 class LongItems:
-    """The grams of the items that do not fit a machine word."""
+    """Keys of the walks of the items that do not fit a machine word."""
 
-    grams: Grams
+    known: Lookup | None
     length: np.ndarray
     edits: np.ndarray
 
     @classmethod
-    def build(cls, texts: list[str], plan: Plan) -> LongItems:
-        rows = [(i, j, t[j : j + plan.gram]) for i, t in enumerate(texts) if len(t) > SHORT for j in range(len(t) - plan.gram + 1)]
-        return cls(Grams.build(rows), np.array([len(t) for t in texts], np.int64), np.array([allowed(len(t), plan) for t in texts], np.int64))
-
-    def near(self, points: np.ndarray, plan: Plan) -> np.ndarray:
+    def build(cls, texts: list[str], plan: Plan, walks: Walks) -> LongItems:
+        keys, item, offset = [], [], []
+        for i, t in enumerate(texts):
+            if len(t) > SHORT:
+                own, ends = walks(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32))
+                inside = np.flatnonzero(ends <= len(t))
+                keys.append(own[inside])
+                item.append(np.full(len(inside), i))
+                offset.append(inside)
+        known = Lookup.build(*map(np.concatenate, (keys, item, offset))) if keys else None
+        return cls(known, np.array([len(t) for t in texts], np.int64), np.array([allowed(len(t), plan) for t in texts], np.int64))
+
+    def near(self, points: np.ndarray, plan: Plan, walks: Walks) -> np.ndarray:
         """(item, begin, end) of the stretches that may hold an item: (n, 3)."""
         out = [np.zeros((0, 3), np.int64)]
-        if not self.grams.keys:
+        if self.known is None:
             return out[0]
-        need, base = plan.least_grams(self.length), 1 << 30
-        for item, begin, _ in self.grams.hits(points, 2 * int(self.length.max())):
-            code = (item << 40) | (begin + base)
-            order = np.argsort(code, kind="stable")
-            code, item, begin = code[order], item[order], begin[order]
-            # hits of an item on neighbouring diagonals, the first of each band
-            many = np.searchsorted(code, code + self.edits[item], "right") - np.arange(len(code)) >= need[item]
-            first = np.flatnonzero(many)
+        need, base = plan.least_hits(self.length), 1 << 30
+        for item, begin in self.known.hits(walks(points)[0], 2 * int(self.length.max())):
+            code = np.sort((item << 40) | (begin + base))
+            item = code >> 40
+            # hits of an item on neighbouring diagonals, the first of each window
+            ahead = np.minimum(np.arange(len(code)) + need[item] - 1, len(code) - 1)
+            first = np.flatnonzero((code[ahead] - code <= self.edits[item]) & (np.arange(len(code)) + need[item] <= len(code)))
             if not len(first):
                 continue
             band = np.flatnonzero(np.concatenate(([True], code[first][1:] > code[first][:-1] + self.edits[item[first]][:-1])))
             at, to = first[band], first[np.append(band[1:], len(first)) - 1]
-            k = self.edits[item[at]]
+            k, begin = self.edits[item[at]], (code & ((1 << 40) - 1)) - base
             out.append(np.stack([item[at], begin[at] - k, begin[to] + self.length[item[at]] + 2 * k], 1))
         return np.concatenate(out)
 
@@ -367,61 +368,28 @@ def edit_distance_within(pattern: str, text: str) -> tuple[int, int]:
 
 @dataclass
 class ItemIndex:
-    """Keys of a block of items, sorted, with item and word offset of each."""
+    """A block of items, short and long ones apart."""
 
     ids: list
     texts: list[str]
-    words: list[int]
-    more: np.ndarray
-    keys: np.ndarray
-    item: np.ndarray
-    offset: np.ndarray
-    seen: np.ndarray
     short: ShortItems
     long: LongItems
 
     @classmethod
     def build(cls, rows: list[tuple], plan: Plan) -> ItemIndex:
-        rows = [r for r in rows if WORD.search(_simple_lower(r[1] or ""))]
-        hashes, first = lower_words([r[1] for r in rows])
-        more = []
-        for i in range(len(rows)):
-            own = hashes[first[i] : first[i + 1]]
-            if len(own) and len(item_anchors(own, plan, np.zeros(0, np.uint64))) < 2:
-                more += list(own[: max(1, min(3, len(own) - plan.span))])
-        more = np.unique(np.array(more, np.uint64))
-        keys, item, offset = [], [], []
-        for i in range(len(rows)):
-            own = hashes[first[i] : first[i + 1]]
-            at = item_anchors(own, plan, more)
-            found = walk_keys(own, np.full(len(at), len(own)), at, plan)
-            keys.append(found.ravel())
-            item.append(np.full(found.size, i))
-            offset.append(np.tile(at, len(found)))
-        keys, item, offset = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((keys, np.uint64), (item, np.int64), (offset, np.int64)))
-        order = np.argsort(keys, kind="stable")
-        seen = np.zeros(1 << 22, bool)
-        seen[(keys >> np.uint64(42)).astype(np.int64)] = True
-        texts = [normalised(r[1]) for r in rows]
-        return cls([r[0] for r in rows], [t for t, _ in texts], [len(b) for _, b in texts], more, keys[order], item[order], offset[order], seen, ShortItems.build([t for t, _ in texts], plan), LongItems.build([t for t, _ in texts], plan))
-
-    def candidates(self, hashes: np.ndarray, first: np.ndarray, plan: Plan) -> set[tuple[int, int, int]]:
-        """(text, item, word where the item would begin) for texts of a block."""
-        at = anchors(hashes, plan, self.more)
-        text = np.searchsorted(first, at, "right") - 1
-        out: set[tuple[int, int, int]] = set()
-        step = 1 << 15
-        for lo in range(0, len(at), step):
-            starts, owner = at[lo : lo + step], text[lo : lo + step]
-            keys = walk_keys(hashes, first[owner + 1], starts, plan)
-            for row in keys:
-                seen = np.flatnonzero(self.seen[(row >> np.uint64(42)).astype(np.int64)])
-                left, right = np.searchsorted(self.keys, row[seen], "left"), np.searchsorted(self.keys, row[seen], "right")
-                for x in np.flatnonzero(right > left):
-                    k = seen[x]
-                    for j in range(left[x], right[x]):
-                        out.add((int(owner[k]), int(self.item[j]), int(starts[k] - first[owner[k]] - self.offset[j])))
-        return out
+        kept = [(i, t) for i, t in ((r[0], normalised(r[1])) for r in rows) if t]
+        texts = [t for _, t in kept]
+        return cls([i for i, _ in kept], texts, ShortItems.build(texts, plan), LongItems.build(texts, plan, walks_of(plan)))
+
+
+_walks: dict[Plan, Walks] = {}
+
+
+def walks_of(plan: Plan) -> Walks:
+    """The walks' random bits, made once a process."""
+    if plan not in _walks:
+        _walks[plan] = Walks(plan)
+    return _walks[plan]
 
 
 def contaminations(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id", plan: Plan = Plan()) -> DataFrame:
@@ -441,24 +409,17 @@ def item_indexes(items: DataFrame, item_text: str, item_key: str, plan: Plan) ->
     """Indexes of the items in blocks of bounded size, whatever their number."""
     rows = items.select(as_id(item_key), F.col(item_text).cast("string"))
     block: list[tuple] = []
+    chars = 0
     for row in rows.toLocalIterator():
-        block.append((row[0], row[1]))
-        if len(block) == ITEM_BLOCK:
+        if block and (len(block) == ITEM_BLOCK or chars + len(row[1] or "") > ITEM_CHARS):
             yield ItemIndex.build(block, plan)
-            block = []
+            block, chars = [], 0
+        block.append((row[0], row[1]))
+        chars += len(row[1] or "")
     if block:
         yield ItemIndex.build(block, plan)
 
 
-def verify(index: ItemIndex, begin: list[int], norm: str, item: int, word: int, plan: Plan) -> tuple[int, int] | None:
-    """Distance and end of ``item`` near word ``word`` of a text, if within the threshold."""
-    pattern, n = index.texts[item], index.words[item]
-    slack = max(4, n // 3)
-    lo = begin[min(max(0, word - slack), len(begin) - 1)]
-    hi = word + n + slack
-    return verify_at(pattern, norm, lo, begin[hi] if hi < len(begin) else len(norm), plan)
-
-
 def verify_at(pattern: str, norm: str, lo: int, hi: int, plan: Plan) -> tuple[int, int] | None:
     """Distance and end of ``pattern`` between ``lo`` and ``hi`` of a text, if within the threshold."""
     lo, most = max(0, lo), allowed(len(pattern), plan)
@@ -471,23 +432,21 @@ def verify_at(pattern: str, norm: str, lo: int, hi: int, plan: Plan) -> tuple[in
 
 def _matches(index: ItemIndex, texts: list[str], plan: Plan) -> dict[tuple[int, int], tuple[int, int]]:
     """Best match of each (text, item) of a block of texts."""
-    hashes, first = lower_words(texts)
     found: dict[tuple[int, int], tuple[int, int]] = {}
-    if not len(hashes) or not len(index.keys):
-        return found
-    places = [(i, item, word, -1) for i, item, word in index.candidates(hashes, first, plan)]
     points, start = normal_points(texts)
-    for item, lo, hi in np.concatenate([index.short.near(points), index.long.near(points, plan)]).tolist():
+    places = []
+    for item, lo, hi in np.concatenate([index.short.near(points), index.long.near(points, plan, walks_of(plan))]).tolist():
         # a stretch may reach over the end of a text: each text that it touches is looked at
         for i in range(max(0, int(np.searchsorted(start, lo, "right")) - 1), min(len(texts), int(np.searchsorted(start, hi, "left")))):
-            places.append((i, item, lo - int(start[i]), hi - int(start[i])))
-    at, begin, norm = -1, [], ""
+            if hi > int(start[i]):
+                places.append((i, item, lo - int(start[i]), hi - int(start[i])))
+    at, norm = -1, ""
     for i, item, a, b in sorted(places):
         if found.get((i, item), (1,))[0] == 0:
             continue
         if i != at:
-            at, (norm, begin) = i, normalised(texts[i])
-        got = verify(index, begin, norm, item, a, plan) if b == -1 else verify_at(index.texts[item], norm, a, b, plan) if b > 0 else None
+            at, norm = i, normalised(texts[i])
+        got = verify_at(index.texts[item], norm, a, b, plan)
         if got and ((i, item) not in found or got < found[i, item]):
             found[i, item] = got
     return found

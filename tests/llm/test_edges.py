@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from conftest import SF
 from pyspark.sql import functions as F
 
 from loomline.llm import decontamination, language_id, near_dedup, packing, pii, quality_rules, substring_dedup, token_counts, url_filters, warc
@@ -158,7 +159,7 @@ def test_decontamination_recall():
     for i, text in items:
         w = [x for x in (rng.choice([y, y, y, y, y, y, y + "s", None]) for y in text.split()) if x]
         doc = f"{prose(30, 5000 + i)} {' '.join(w)} {prose(30, 9000 + i)}"
-        distance, _ = decontamination.edit_distance_within(decontamination.normalised(text)[0], decontamination.normalised(doc)[0])
+        distance, _ = decontamination.edit_distance_within(decontamination.normalised(text), decontamination.normalised(doc))
         if distance <= 0.2 * len(text):
             near += 1
             found += (0, i) in decontamination._matches(index, [doc], plan)
@@ -188,19 +189,48 @@ def test_decontamination_of_short_items():
     assert decontamination._matches(decontamination.ItemIndex.build([(1, "cat")], plan), ["concatenate", "a Cat!", "ca", "t"], plan) == {(1, 0): (0, 5)}
 
 
-def test_decontamination_of_edited_letters():
-    """Letters edited all over a longer item: found in 19 of 20 cases at least, at every share."""
+def _letters(t, share, rng):
+    t = list(t)
+    for j in rng.sample(range(len(t)), int(share * len(t))):
+        kind = rng.random()
+        t[j] = rng.choice("abcdefghijklmnopqrstuvwxyz") if kind < 0.6 else "" if kind < 0.8 else t[j] + rng.choice("abcdefghijklmnopqrstuvwxyz")
+    return "".join(t)
+
+
+def _words(t, share, rng):
+    w, spent = t.split(), 0
+    for j in rng.sample(range(len(w)), len(w)):
+        if spent + len(w[j]) <= share * len(t):
+            spent += len(w[j])
+            w[j] = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in w[j]) if rng.random() < 0.7 else ""
+    return " ".join(filter(None, w))
+
+
+def _every(t, k, rng):
+    w = t.split()
+    for i in range(0, len(w), k):
+        j = rng.randrange(len(w[i]))
+        w[i] = w[i][:j] + rng.choice("qxzw") + w[i][j + 1 :]
+    return " ".join(w)
+
+
+@pytest.mark.parametrize(("how", "shares"), [(_letters, (0.05, 0.1, 0.15, 0.19)), (_words, (0.05, 0.1, 0.15, 0.2)), (_every, (1, 2, 3, 4))])
+def test_decontamination_equals_brute_force(spark, how, shares):
+    """Of all pairs of a document and an item within the exact threshold, 19 of 20 at least are found, and no others."""
     rng, plan = random.Random(5), decontamination.Plan()
-    items = [(i, prose(n, 3000 + i)) for i, n in enumerate([18, 25, 40, 60] * 25)]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").collect()]
+    hosts = [r.text[:300] for r in spark.read.parquet(f"{SF}/documents.parquet").filter("length(text) > 300").orderBy("doc_id").limit(len(items)).collect()]
     index = decontamination.ItemIndex.build(items, plan)
-    for share in (0.05, 0.1, 0.15, 0.19):
-        docs = []
-        for i, t in items:
-            for j in rng.sample(range(len(t)), int(share * len(t))):
-                t = t[:j] + rng.choice("qxzw") + t[j + 1 :] if t[j] != " " else t
-            docs.append(f"{prose(30, 5000 + i)} {t} {prose(30, 9000 + i)}")
-        got = decontamination._matches(index, docs, plan)
-        assert sum((i, i) in got for i in range(len(items))) >= 95
+    for share in shares:
+        docs = [f"{h[:150]} {how(t, share, rng)} {h[150:]}" for h, (_, t) in zip(hosts, items, strict=True)]
+        want = {}
+        for i, doc in enumerate(docs):
+            for j, text in enumerate(index.texts):
+                distance, _ = decontamination.edit_distance_within(text, decontamination.normalised(doc))
+                if distance <= decontamination.allowed(len(text), plan):
+                    want[i, j] = distance
+        got = {k: d for k, (d, _) in decontamination._matches(index, docs, plan).items()}
+        assert len(want) > 10 and len(got) >= 0.95 * len(want) and all(want[k] == d for k, d in got.items())
 
 
 def test_edit_distance_equals_the_table():
