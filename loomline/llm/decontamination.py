@@ -79,7 +79,7 @@ class Plan:
 
     def least_hits(self, length: np.ndarray) -> np.ndarray:
         """Equal keys in a window that make a candidate."""
-        return np.maximum(2, length // 24)
+        return np.maximum(2, length // 28)
 
 
 class Walks:
