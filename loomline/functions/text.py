@@ -16,7 +16,13 @@ def text(c: Column | str) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^[{WHITE}]+|[{WHITE}]+$", "")
+    """``c`` without white space at its ends: one pass from each end."""
+    return F.regexp_extract(c, f"(?s)^[{WHITE}]*+(.*[^{WHITE}])", 1)
+
+
+def told(c: Column) -> Column:
+    """Whether ``c`` holds more than white space."""
+    return c.rlike(f"[^{WHITE}]")
 
 
 def filled(c: Column) -> Column:
@@ -35,6 +41,13 @@ def bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def once(value: Column) -> Column:
+    """``value``, computed where it stands.  Catalyst moves a filter below the
+    projection that makes its columns and makes these there again; below a
+    projection that isn't deterministic it moves none."""
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def words(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(WORD), F.lit(1))
 
@@ -71,29 +84,42 @@ def paragraphs(c: Column) -> Column:
     return F.filter(F.transform(F.split(c, "\n\n"), strip), lambda p: p != "")
 
 
-def split_think(c: Column) -> tuple[Column, Column]:
-    """Reasoning (null if none) and answer of a text with a think block.
+def _both(reasoning: Column, answer: Column) -> Column:
+    return F.struct(reasoning.cast("string").alias("reasoning"), answer.cast("string").alias("answer"))
+
+
+def _last_apart(parts: Column, several, one) -> Column:
+    """``several(all but the last, the last)`` of two paragraphs or more, else ``one``."""
+    n = F.size(parts)
+    return F.when(n > 1, several(F.array_join(F.slice(parts, F.lit(1), F.greatest(n - 1, F.lit(0))), "\n\n"), F.try_element_at(parts, F.lit(-1)))).otherwise(one)
+
+
+def think_parts(c: Column) -> Column:
+    """struct<reasoning (null if none), answer> of a text with a think block.
 
     A closed block: what stands inside and after it; an empty answer is the
     whole text.  An open block: all paragraphs but the last, and the last; a
     single paragraph is both.  No block: no reasoning.
+
+    The text is cut at the first opening tag and the rest at the first closing
+    one; every value is bound, so each pattern runs once a row.
     """
-    c = text(c)
-    closed, opened = c.rlike("(?is)<think>.*?</think>"), c.rlike("(?i)<think>")
-    inside = strip(F.regexp_extract(c, "(?is)<think>(.*?)</think>", 1))
-    after = strip(F.regexp_extract(c, "(?is)<think>.*?</think>(.*)", 1))
-    body = strip(F.regexp_extract(c, "(?is)<think>(.*)", 1))
-    parts = paragraphs(body)
-    several = F.size(parts) > 1
-    lead = F.array_join(F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(0))), "\n\n")
-    reasoning = F.when(closed, filled(inside)).when(opened, F.when(several, lead).otherwise(filled(body)))
-    answer = F.when(closed, F.coalesce(filled(after), strip(c))).when(opened, F.when(several, F.try_element_at(parts, F.lit(-1))).otherwise(body)).otherwise(strip(c))
-    return reasoning, answer
+    open_block = lambda body: bound(paragraphs(body), lambda parts: _last_apart(parts, _both, _both(filled(body), body)))
+    closed = lambda whole, halves: bound(
+        F.transform(halves, strip), lambda h: _both(filled(F.get(h, F.lit(0))), F.coalesce(filled(F.get(h, F.lit(1))), strip(whole)))
+    )
+    block = lambda whole, rest: bound(F.split(rest, "(?i)</think>", 2), lambda halves: F.when(F.size(halves) > 1, closed(whole, halves)).otherwise(bound(strip(rest), open_block)))
+    return bound(text(c), lambda whole: bound(F.split(whole, "(?i)<think>", 2), lambda cuts: F.when(F.size(cuts) > 1, block(whole, F.get(cuts, F.lit(1)))).otherwise(_both(F.lit(None), strip(whole)))))
 
 
 def last_boxed(c: Column) -> Column:
     """What the last ``\\boxed{`` holds, braces balanced; null if unbalanced or blank."""
-    tail = F.element_at(F.split(c, r"\\boxed\{", -1), -1)
+    inner = bound(F.element_at(F.split(c, r"\\boxed\{", -1), -1), _balanced)
+    return F.when(F.contains(c, F.lit("\\boxed{")), inner)
+
+
+def _balanced(tail: Column) -> Column:
+    """What stands before the brace that closes ``tail``; null if none does, or for a blank."""
     start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("at"), F.lit(0).alias("end"))
     step = lambda a, ch: F.when(a["end"] > 0, a).otherwise(
         F.struct(
@@ -103,24 +129,22 @@ def last_boxed(c: Column) -> Column:
         )
     )
     end = F.aggregate(F.split(tail, ""), start, step)["end"]
-    return F.when(F.contains(c, F.lit("\\boxed{")), F.when(end > 0, filled(strip(F.substring(tail, F.lit(1), end - 1)))))
+    return bound(end, lambda e: F.when(e > 0, filled(strip(F.substring(tail, F.lit(1), e - 1)))))
 
 
 #: Expected answers that name no value (fixed values).
 NO_VALUE = ("proof", "notfound", "none", "n/a")
 
 
-def split_prose(c: Column, expected: Column) -> tuple[Column, Column]:
-    """Reasoning and answer of plain prose: the expected answer, else the last
+def prose_parts(c: Column, expected: Column) -> Column:
+    """struct<reasoning, answer> of plain prose: the expected answer, else the last
     boxed one, makes a closing line; else the last paragraph answers."""
-    c = strip(text(c))
-    given = strip(text(expected))
-    given = F.when(~F.lower(given).isin(*NO_VALUE), filled(given))
-    found = F.coalesce(given, last_boxed(c))
-    parts = paragraphs(c)
-    several = F.size(parts) > 1
-    lead = F.array_join(F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(0))), "\n\n")
-    some = c != ""
-    reasoning = F.when(some & found.isNotNull(), c).when(some & several, lead)
-    answer = F.when(some & found.isNotNull(), F.concat(F.lit("The final answer is $\\boxed{"), found, F.lit("}$."))).when(some & several, F.try_element_at(parts, F.lit(-1))).otherwise(c)
-    return reasoning, answer
+
+    def parts(whole: Column) -> Column:
+        given = bound(strip(text(expected)), lambda e: F.when(~F.lower(e).isin(*NO_VALUE), filled(e)))
+        closing = lambda found: F.concat(F.lit("The final answer is $\\boxed{"), found, F.lit("}$."))
+        by_paragraph = bound(paragraphs(whole), lambda p: _last_apart(p, _both, _both(F.lit(None), whole)))
+        found = bound(F.coalesce(given, last_boxed(whole)), lambda f: F.when(f.isNotNull(), _both(whole, closing(f))).otherwise(by_paragraph))
+        return F.when(whole == "", _both(F.lit(None), F.lit(""))).otherwise(found)
+
+    return bound(strip(text(c)), parts)

@@ -8,7 +8,6 @@ what it keeps.  It is found in rounds, per bucket, without making pairs.
 
 from __future__ import annotations
 
-import hashlib
 import random
 from collections.abc import Iterator
 
@@ -18,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.storage import cut
-from ..functions.text import bound, shingles, words
+from ..functions.text import bound, once, shingles, words
 
 BANDS, ROWS = 5, 11
 PRIME = (1 << 31) - 1
@@ -44,25 +43,37 @@ def shingle_set(body: Column, n: int = 5) -> Column:
     return bound(F.lower(body), lambda low: bound(words(low), lambda tokens: shingles(low, tokens, n)))
 
 
-def signature(shingle_array: Column, n: int = BANDS * ROWS) -> Column:
-    """Minima of the hash family over the shingles' hashes, the first 31 bits
-    of their MD5; null for a text without shingles."""
-    a, b = (np.array(x, np.int64)[:, None] for x in zip(*permutations(n), strict=True))
+def shingle_hash(shingle: Column) -> Column:
+    """The first 31 bits of a shingle's MD5, modulo the prime."""
+    return F.pmod(F.shiftright(F.conv(F.substring(F.md5(shingle), 1, 8), 16, 10).cast("long"), 1), F.lit(PRIME))
+
+
+def signature(hashes: Column, n: int = BANDS * ROWS) -> Column:
+    """Minima of the hash family over the hashes of a text's shingles; null for a text without any."""
+    family = permutations(n)
 
     @F.pandas_udf("array<bigint>")
     def minima(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in batches:
-            out = []
-            for items in series:
-                if items is None or not len(items):
-                    out.append(None)
-                    continue
-                x = np.array([int.from_bytes(hashlib.md5(s.encode()).digest()[:4], "big") >> 1 for s in items], np.int64) % PRIME
-                out.append(((a * x + b) % PRIME).min(axis=1))
+            size = np.array([0 if x is None else len(x) for x in series])
+            some = np.flatnonzero(size)
+            out = [None] * len(series)
+            if len(some):
+                x = np.concatenate([series.iloc[i] for i in some]).astype(np.int64)
+                first = np.cumsum(size[some]) - size[some]
+                found = np.stack([np.minimum.reduceat((a * x + b) % PRIME, first) for a, b in family], axis=1)
+                for i, row in zip(some, found, strict=True):
+                    out[i] = row
             yield pd.Series(out)
 
     # so marked, it is neither moved into filters nor run twice
-    return minima.asNondeterministic()(shingle_array)
+    return minima.asNondeterministic()(hashes)
+
+
+def signed(df: DataFrame, body: str, out: str) -> DataFrame:
+    """``df`` with the signature of the text in column ``body``."""
+    hashed = df.withColumn(out, once(F.transform(shingle_set(F.col(body)), shingle_hash)))
+    return hashed.withColumn(out, signature(F.col(out)))
 
 
 def bands(values: Column) -> Column:
@@ -72,11 +83,19 @@ def bands(values: Column) -> Column:
     )
 
 
-def candidate_pairs(members: DataFrame) -> DataFrame:
-    """Pairs (a, b), a before b, that share a bucket.  ``members``: bucket, node.
-    A report of collisions; ``keep_first`` doesn't make pairs."""
-    other = members.select("bucket", F.col("node").alias("b"))
-    return members.select("bucket", F.col("node").alias("a")).join(other, "bucket").filter("a < b").select("a", "b").distinct()
+def partners(members: DataFrame, node: str, keys: str) -> DataFrame:
+    """(node, n_partners): how many other nodes share a band with each, of
+    ``members`` (node, array of one key per band), without making a pair.
+
+    Nodes that share all bands of a set are counted for each set of bands; the
+    sum over sets, with signs, counts each partner once.
+    """
+    sets = [[b for b in range(BANDS) if s >> b & 1] for s in range(1, 1 << BANDS)]
+    rows = F.array(*(F.struct(F.lit(1 if len(s) % 2 else -1).alias("sign"), F.concat_ws("|", *(F.col(keys)[b] for b in s)).alias("shared")) for s in sets))
+    each = members.select(node, F.inline(rows))
+    sizes = cut(each.groupBy("shared").agg(F.count("*").alias("n")).filter("n > 1"))
+    got = each.join(sizes, "shared").groupBy(node).agg(F.sum(F.col("sign") * (F.col("n") - 1)).alias("n_partners"))
+    return members.select(node).join(got, node, "left").select(node, F.coalesce("n_partners", F.lit(0)).alias("n_partners"))
 
 
 def keep_first(members: DataFrame) -> DataFrame:
@@ -86,19 +105,17 @@ def keep_first(members: DataFrame) -> DataFrame:
     Each round keeps every node that is first among the undecided of all its
     buckets, and drops the others there.  Ends when nothing is undecided.
     """
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    left = cut(members.join(shared, "bucket"))
-    dropped = None
+    # aggregates are written before they are joined: adaptive execution can then split a bucket that many hold
+    left = cut(members.join(cut(members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")), "bucket"))
+    dropped = members.select("node").filter("false")
     while not left.isEmpty():
-        first = left.groupBy("bucket").agg(F.min("node").alias("first"))
-        seen = left.join(first, "bucket")
+        seen = left.join(cut(left.groupBy("bucket").agg(F.min("node").alias("first"))), "bucket")
         kept = seen.groupBy("node").agg(F.min("first").alias("m")).filter("m = node").select("node")
         hit = seen.join(kept.withColumnRenamed("node", "first"), "first", "left_semi").filter("node <> first").select("node").distinct()
-        hit = cut(hit)
-        dropped = hit if dropped is None else cut(dropped.unionByName(hit))
-        decided = hit.unionByName(kept)
+        decided = cut(kept.withColumn("gone", F.lit(False)).unionByName(hit.withColumn("gone", F.lit(True))))
+        dropped = dropped.unionByName(decided.filter("gone").select("node"))
         left = cut(left.join(decided, "node", "left_anti"))
-    return dropped if dropped is not None else members.select("node").filter("false")
+    return dropped
 
 
 def near_duplicates(df: DataFrame, body: Column, order: list) -> DataFrame:
@@ -107,14 +124,14 @@ def near_duplicates(df: DataFrame, body: Column, order: list) -> DataFrame:
 
     Copies share a signature, so they are decided with their first one.
     """
-    keyed = cut(df.withColumn("_key", exact_key(body)).withColumn("_set", shingle_set(body)))
-    first = first_of_each(keyed.select("_key", "_set", *_names(order)), ["_key"], order)
+    keyed = df.withColumn("_key", exact_key(body))
+    first = signed(first_of_each(keyed.select("_key", body.alias("_body"), *_names(order)), ["_key"], order), "_body", "s")
     # the priority number orders nodes; it is a struct, so no global sort is needed
-    node = first.select("_key", F.struct(*_names(order)).alias("node"), signature(F.col("_set")).alias("s"))
-    members = node.filter("s IS NOT NULL").select("node", F.explode(bands(F.col("s"))).alias("bucket"))
+    node = cut(first.select("_key", F.struct(*_names(order)).alias("node"), "s"))
+    members = cut(node.filter("s IS NOT NULL").select("node", F.explode(bands(F.col("s"))).alias("bucket")))
     gone = keep_first(members).withColumn("_near", F.lit(True))
     state = node.select("_key", "node").join(gone, "node", "left")
-    out = keyed.drop("_set").join(state.select("_key", "node", "_near"), "_key")
+    out = keyed.join(state.select("_key", "node", "_near"), "_key")
     mine = F.struct(*_names(order)) == F.col("node")
     return out.withColumn("dropped", F.when(F.col("_near"), "near").when(~mine, "exact")).drop("_key", "_near", "node")
 

@@ -20,12 +20,25 @@ def order_key(seed: int, salt: str, *keys: str) -> Column:
     return F.sha2(F.concat_ws(":", F.lit(str(seed)), F.lit(salt), *[F.col(k).cast("string") for k in keys]), 256)
 
 
+#: Rows of a bucket of the hash, in expectation.
+BUCKET_ROWS = 100_000
+
+
+def digits_for(rows: int) -> int:
+    """Leading hexadecimal digits that make buckets of about ``BUCKET_ROWS`` rows."""
+    n = 2
+    while 16**n * BUCKET_ROWS < rows:
+        n += 1
+    return n
+
+
 def running_before(df: DataFrame, groups: list[str], key: str, value: str, out: str) -> DataFrame:
     """``df`` with ``out``: the sum of ``value`` over the rows of the group with a
-    smaller ``key``, a hexadecimal hash.  Two levels: buckets of the first two
-    digits, then rows inside a bucket."""
-    at = df.withColumn("_bucket", F.substring(key, 1, 2))
-    totals = at.groupBy(*groups, "_bucket").agg(F.sum(value).alias("_total"))  # 256 rows a group at most
+    smaller ``key``, a hexadecimal hash.  Two levels: buckets of the first digits,
+    as many as the number of rows asks for, then rows inside a bucket.
+    ``df`` is read three times, so it should be written."""
+    at = df.withColumn("_bucket", F.substring(key, 1, digits_for(df.count())))
+    totals = at.groupBy(*groups, "_bucket").agg(F.sum(value).alias("_total"))  # a row for each bucket of a group
     before = F.sum("_total").over(Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     totals = totals.select(*groups, "_bucket", F.coalesce(before, F.lit(0)).alias("_before"))
     inside = F.sum(value).over(Window.partitionBy(*groups, "_bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1))
@@ -41,9 +54,9 @@ def budget_sample(pool: DataFrame, targets: DataFrame, group: str, key: str, tok
     prefix, so the pool is not repeated before it is summed.
     """
     small = F.broadcast(targets.filter("target > 0"))  # a row per domain of a recipe
-    inside = pool.join(small, group)
-    total = inside.groupBy(group).agg(F.sum(tokens).alias("_all"))
-    summed = running_before(inside, [group], key, tokens, "_prefix").join(total, group)
+    inside = cut(pool.join(small, group))
+    total = inside.groupBy(group).agg(F.sum(tokens).alias("_all"))  # a row per domain
+    summed = running_before(inside, [group], key, tokens, "_prefix").join(F.broadcast(total), group)
     repeats = F.explode(F.sequence(F.lit(0), F.lit(MOST_REPEATS - 1)))
     return summed.withColumn("pass", repeats).filter(F.col("pass") * F.col("_all") + F.col("_prefix") < F.col("target")).drop("_prefix", "_all", "target")
 
@@ -78,7 +91,7 @@ def taken_in_order(pool: DataFrame, order: list, already: float, limit: float, t
     totals = totals.select("_range", F.coalesce(before, F.lit(0)).alias("_before"))
     inside = F.sum(tokens).over(Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
     out = ranged.withColumn("_inside", F.coalesce(inside, F.lit(0))).join(F.broadcast(totals), "_range")
-    out = cut(out.filter(F.col("_before") + F.col("_inside") + already < limit).drop("_range", "_before", "_inside"))
+    out = out.filter(F.col("_before") + F.col("_inside") + already < limit).drop("_range", "_before", "_inside")
     return out, out.agg(F.coalesce(F.sum(tokens), F.lit(0)).alias("n")).first()["n"]
 
 
@@ -116,7 +129,7 @@ def fidelity(report: DataFrame, recipes: dict[str, dict[str, float]], tolerance:
 
 def chunked(df: DataFrame, groups: list[str], key: str, rows: int) -> DataFrame:
     """``df`` with ``chunk``: slices of ``rows`` rows in the order of a hash key."""
-    return running_before(df.withColumn("_one", F.lit(1)), groups, key, "_one", "_place").withColumn("chunk", F.floor(F.col("_place") / rows).cast("long")).drop("_one", "_place")
+    return running_before(cut(df.withColumn("_one", F.lit(1))), groups, key, "_one", "_place").withColumn("chunk", F.floor(F.col("_place") / rows).cast("long")).drop("_one", "_place")
 
 
 def gathered(selected: DataFrame, records: DataFrame) -> DataFrame:

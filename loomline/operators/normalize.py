@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import filled, last_boxed, split_prose, split_think, strip, text  # noqa: F401
+from ..functions.text import bound, filled, once, prose_parts, text, think_parts, told
 from ..sources.catalog import Source
 
 MESSAGE = "struct<role:string,content:string,reasoning:string>"
@@ -50,7 +50,7 @@ def record_id(source: Column, native: Column, user: Column) -> Column:
 
 
 def has_text(messages: Column, role: str) -> Column:
-    return F.exists(messages, lambda m: (m["role"] == role) & (strip(text(m["content"])) != ""))
+    return F.exists(messages, lambda m: (m["role"] == role) & told(text(m["content"])))
 
 
 def reasons(messages: Column) -> Column:
@@ -64,14 +64,10 @@ def first_user(messages: Column) -> Column:
 def clean_turns(turns: Column, role: str, content: str, roles: dict[str, str]) -> Column:
     """Turns of known roles with a text; assistant turns are split into
     reasoning and answer, others stay as they are."""
-    known = F.filter(turns, lambda t: lookup(roles, t[role]).isNotNull() & (strip(text(t[content])) != ""))
-
-    def turn(t: Column) -> Column:
-        who = lookup(roles, t[role])
-        reasoning, answer = split_think(t[content])
-        mine = who == "assistant"
-        return message(who, F.when(mine, answer).otherwise(text(t[content])), F.when(mine, reasoning))
-
+    named = F.transform(turns, lambda t: F.struct(lookup(roles, t[role]).alias("who"), text(t[content]).alias("said")))
+    known = F.filter(named, lambda t: t["who"].isNotNull() & told(t["said"]))
+    answer = lambda t: bound(think_parts(t["said"]), lambda p: message("assistant", p["answer"], p["reasoning"]))
+    turn = lambda t: F.when(t["who"] == "assistant", answer(t)).otherwise(message(t["who"], t["said"]))
     return F.coalesce(F.transform(known, turn), F.array().cast(MESSAGES))
 
 
@@ -79,6 +75,11 @@ def two_turns(user: Column, answer: Column, reasoning: Column) -> Column:
     return F.array(message("user", user), message("assistant", answer, reasoning))
 
 
+def answered(user: Column, parts: Column) -> Column:
+    """A user's turn and an answer of struct<reasoning, answer>, which is computed once."""
+    return bound(parts, lambda p: two_turns(user, p["answer"], p["reasoning"]))
+
+
 def _column(df: DataFrame, name: str | None) -> Column:
     return F.col(name) if name and name in df.columns else F.lit(None).cast("string")
 
@@ -86,12 +87,11 @@ def _column(df: DataFrame, name: str | None) -> Column:
 def _instruct(df: DataFrame, s: Source) -> tuple[Column, dict]:
     user, output = text(_column(df, s.columns["instruction"])), text(_column(df, s.columns["output"]))
     expected = _column(df, s.columns.get("answer"))
-    reasoning, answer = split_think(output)
+    parts = think_parts(output)
     if s.prose:
-        more, short = split_prose(output, expected)
-        answer, reasoning = F.when(reasoning.isNull(), short).otherwise(answer), F.coalesce(reasoning, more)
+        parts = bound(parts, lambda p: F.when(p["reasoning"].isNull(), prose_parts(output, expected)).otherwise(p))
     rate = _column(df, s.columns.get("pass_rate"))
-    return two_turns(user, answer, reasoning), {"expected_answer": expected.cast("string"), "pass_rate": rate.try_cast("double")}
+    return answered(user, parts), {"expected_answer": expected.cast("string"), "pass_rate": rate.try_cast("double")}
 
 
 def _messages(df: DataFrame, s: Source) -> tuple[Column, dict]:
@@ -114,9 +114,9 @@ def pick_generation(generations: Column, verified: Column, solution: Column) ->
 def _openr1(df: DataFrame, s: Source) -> tuple[Column, dict]:
     c = s.columns
     picked = pick_generation(F.col(c.get("generations", "generations")), F.col(c.get("verify", "correctness_math_verify")), _column(df, c.get("solution", "solution")))
-    reasoning, answer = split_think(picked)
-    answer = F.coalesce(filled(answer), filled(text(_column(df, c.get("answer", "answer")))), picked)
-    return two_turns(text(_column(df, c["problem"])), answer, reasoning), {}
+    user, other = text(_column(df, c["problem"])), filled(text(_column(df, c.get("answer", "answer"))))
+    best = lambda p, whole: F.coalesce(filled(p["answer"]), other, whole)
+    return bound(picked, lambda whole: bound(think_parts(whole), lambda p: two_turns(user, best(p, whole), p["reasoning"]))), {}
 
 
 def _s1k(df: DataFrame, s: Source) -> tuple[Column, dict]:
@@ -147,10 +147,10 @@ def records(df: DataFrame, s: Source, rank: int = 0) -> DataFrame:
 
 def assemble(at: DataFrame) -> DataFrame:
     """Records from messages and their bookkeeping; rows without a user text or an answer go."""
-    at = at.withColumn("_user", first_user(F.col("messages"))).filter((strip(F.col("_user")) != "") & has_text(F.col("messages"), "assistant"))
+    at = at.withColumn("messages", once(F.col("messages"))).filter(told(first_user(F.col("messages"))) & has_text(F.col("messages"), "assistant"))
     meta = F.struct(F.col("name").alias("name"), F.col("_config").alias("config"), F.col("_expected").alias("expected_answer"), F.col("_rate").alias("pass_rate"), F.lit(None).cast("string").alias("reasoning_mode"))
     return at.select(
-        record_id(F.col("source"), F.col("_native"), F.col("_user")).alias("id"), "source", "name", "source_rank", F.col("idx").cast("long").alias("idx"),
+        record_id(F.col("source"), F.col("_native"), first_user(F.col("messages"))).alias("id"), "source", "name", "source_rank", F.col("idx").cast("long").alias("idx"),
         "domain", "messages", reasons(F.col("messages")).alias("reasoning_present"), "license", meta.alias("meta"),
     )
 

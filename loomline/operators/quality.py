@@ -16,8 +16,8 @@ FENCE = "```"
 def well_formed(messages: Column, domain: Column, max_chars: int = MAX_CHARS, max_replaced: int = MAX_REPLACED) -> Column:
     """A user and an assistant with a text; no message too long or with too many
     replacement characters; in code, fences of assistant contents in pairs."""
-    both = lambda m: F.concat(text(m["content"]), text(m["reasoning"]))
-    sound = F.forall(messages, lambda m: (F.length(both(m)) <= max_chars) & (count_of(both(m), "�") <= max_replaced))
+    both = F.transform(messages, lambda m: F.concat(text(m["content"]), text(m["reasoning"])))
+    sound = F.forall(both, lambda b: (F.length(b) <= max_chars) & (count_of(b, "�") <= max_replaced))
     paired = F.forall(messages, lambda m: (m["role"] != "assistant") | (count_of(text(m["content"]), FENCE) % 2 == 0))
     return has_text(messages, "user") & has_text(messages, "assistant") & sound & ((domain != "code") | paired)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .dedup import first_of_each
+from ..functions.storage import cut
 from .mix import running_before
 
 
@@ -19,13 +19,14 @@ def train_test(df: DataFrame, key: str, groups: list[str] | None = None, share:
     test one stays.  max(1, floor(contents * share)) contents are test."""
     groups = groups or ["_all"]
     df = df.withColumn("_all", F.lit(0)) if groups == ["_all"] else df
-    contents = df.select(*groups, key).distinct().withColumn("_order", F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key)), 256)).withColumn("_one", F.lit(1))
-    ranked = running_before(contents, groups, "_order", "_one", "_place")
+    df = cut(df)
+    contents = cut(df.groupBy(*groups, key).agg(F.lit(1).alias("_one")).withColumn("_order", F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key)), 256)))
     sizes = contents.groupBy(*groups).agg(F.count("*").alias("_n"))
-    test = ranked.join(F.broadcast(sizes), groups).filter(F.col("_place") < F.greatest(F.lit(1), F.floor(F.col("_n") * share))).select(*groups, key)
-    ours = df.join(test, [*groups, key], "left_semi")
+    ranked = running_before(contents, groups, "_order", "_one", "_place").join(sizes, groups)
+    test = cut(ranked.filter(F.col("_place") < F.greatest(F.lit(1), F.floor(F.col("_n") * share))).select(*groups, key))
+    ours = df.join(test, [*groups, key], "left_semi").dropDuplicates([*groups, key])
     other = df.join(test, [*groups, key], "left_anti")
-    return first_of_each(ours, [*groups, key], [key]).withColumn("side", F.lit("test")).unionByName(other.withColumn("side", F.lit("train"))).drop("_all")
+    return ours.withColumn("side", F.lit("test")).unionByName(other.withColumn("side", F.lit("train"))).drop("_all")
 
 
 def leaks(split: DataFrame, key: str) -> DataFrame:

@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.storage import spread
-from ..functions.text import split_think, text, words
+from ..functions.storage import cut, spread
+from ..functions.text import text, think_parts, words
 from ..operators import mix, normalize
 from ..operators.render import record_text
 
@@ -43,11 +43,9 @@ def lines(docs: DataFrame) -> DataFrame:
 def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = lines(table(spark, sf_dir, "documents"))
     raw = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("<think>"), F.split_part("rest", F.lit("\n"), F.lit(1)), F.lit("</think>"), F.col("rest"))).otherwise(F.col("rest"))
-    at = at.withColumn("_raw", raw)
-    reasoning, answer = split_think(F.col("_raw"))
     rank = F.substring("source", 4, 10).cast("int")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("_rate"))
-    at = at.withColumn("messages", normalize.two_turns(F.col("usr"), answer, reasoning)).join(labels, "doc_id", "left")
+    at = at.withColumn("messages", normalize.answered(F.col("usr"), think_parts(raw))).join(labels, "doc_id", "left")
     return normalize.assemble(
         at.select(
             F.col("doc_id").alias("idx"), F.col("doc_id").cast("string").alias("_native"), "messages", "source", F.col("source").alias("name"), rank.alias("source_rank"),
@@ -78,7 +76,7 @@ def stage1(index: DataFrame) -> DataFrame:
 
 def stage2(index: DataFrame) -> DataFrame:
     own = mix.stage_mix(index.filter(~F.col("source").isin(EXCLUSIVE)), STAGE2, BUDGET["stage2"] * (1 - REPLAY), SEED, "stage2").withColumn("copy", F.lit(None).cast("int")).withColumn("part", F.lit("recipe"))
-    again = mix.replay(stage1(index), BUDGET["stage2"] * REPLAY, SEED).withColumn("part", F.lit("replay"))
+    again = mix.replay(cut(stage1(index)), BUDGET["stage2"] * REPLAY, SEED).withColumn("part", F.lit("replay"))
     return own.unionByName(again)
 
 

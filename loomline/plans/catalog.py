@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import WHITE, count_of, plain_ascii, split_prose, split_think, strip, text, unit_hash, words
+from ..functions.text import WHITE, count_of, plain_ascii, prose_parts, strip, text, think_parts, unit_hash, words
 from ..functions.storage import cut
 from ..operators import decontam, dedup, mix, normalize, quality, reasoning, render, split, validate
 from ..sources import io
@@ -117,8 +117,7 @@ _VR, _VA = s_think("v")
 @query(f"WITH {LINES}, x AS (SELECT doc_id, CASE doc_id % 6 {' '.join(f'WHEN {k} THEN {v}' for k, v in _V.items())} END AS v FROM l) SELECT doc_id, {_VR} AS reasoning, {_VA} AS answer FROM x")
 def split_think_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = lines(table(spark, sf_dir, "documents")).withColumn("v", F.expr("CASE doc_id % 6 " + " ".join(f"WHEN {k} THEN {v}" for k, v in _V.items()) + " END"))
-    r, a = split_think(F.col("v"))
-    return at.select("doc_id", r.alias("reasoning"), a.alias("answer"))
+    return at.select("doc_id", think_parts(F.col("v")).alias("p")).select("doc_id", "p.reasoning", "p.answer")
 
 
 _P = {0: "usr", 1: "usr", 2: "usr || ' {b}a{{b}}c} and {b}x_' || doc_id || '{{y}}}'", 3: "usr || chr(10) || chr(10) || rest", 4: "usr || ' {b}open'"}
@@ -136,8 +135,7 @@ _BOXED = s_strip(r"regexp_extract(list_extract(string_split(p, '\boxed{'), -1),
 def split_prose_cot_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     cases = " ".join(f"WHEN {k} THEN {v}" for k, v in _P.items()).replace("\\", "\\\\")
     at = lines(table(spark, sf_dir, "documents")).withColumn("p", F.expr(f"CASE doc_id % 5 {cases} END")).withColumn("e", F.expr("CASE doc_id % 5 WHEN 0 THEN 'Proof' WHEN 1 THEN '42' END"))
-    r, a = split_prose(F.col("p"), F.col("e"))
-    return at.select("doc_id", r.alias("reasoning"), a.alias("answer"))
+    return at.select("doc_id", prose_parts(F.col("p"), F.col("e")).alias("p")).select("doc_id", "p.reasoning", "p.answer")
 
 
 @query(
@@ -271,8 +269,7 @@ def _distinct_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _signed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = cut(_distinct_bodies(spark, sf_dir).select(*_BY, dedup.shingle_set(F.col("body")).alias("set")))
-    return sets.select(*_BY, dedup.signature(F.col("set")).alias("sig")).filter("sig IS NOT NULL")
+    return cut(dedup.signed(_distinct_bodies(spark, sf_dir), "body", "sig").select(*_BY, "sig")).filter("sig IS NOT NULL")
 
 
 @query(f"WITH {_SIGNED} SELECT doc_id, array_to_string(sig, ',') AS signature FROM m")
@@ -280,21 +277,11 @@ def minhash_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _signed(spark, sf_dir).select("doc_id", F.array_join(F.transform("sig", lambda v: v.cast("string")), ",").alias("signature"))
 
 
-@query(f"WITH {_PAIRED} SELECT doc_a, doc_b FROM p")
-def lsh_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members = _signed(spark, sf_dir).select(F.struct(*_BY).alias("node"), F.explode(dedup.bands(F.col("sig"))).alias("bucket"))
-    return dedup.candidate_pairs(members).select(F.col("a.doc_id").alias("doc_a"), F.col("b.doc_id").alias("doc_b"))
-
-
-@query(f"WITH {_SETS}, c AS (SELECT node, doc_id, count(*) AS n FROM s GROUP BY node, doc_id), i AS (SELECT a.node AS a, b.node AS b, count(*) AS n_both FROM s a JOIN s b ON a.g = b.g AND a.node < b.node GROUP BY a.node, b.node) SELECT x.doc_id AS doc_a, y.doc_id AS doc_b, n_both, x.n + y.n - n_both AS n_either FROM i JOIN c x ON x.node = a JOIN c y ON y.node = b WHERE 10 * n_both >= 8 * (x.n + y.n - n_both)")
-def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of distinct texts by exact similarity: a check on the bands, not a step of the pipeline."""
-    at = _distinct_bodies(spark, sf_dir).select(F.struct(*_BY).alias("node"), dedup.shingle_set(F.col("body")).alias("set"))
-    rows = at.select("node", F.size("set").alias("n"), F.explode("set").alias("g"))
-    other = rows.select(F.col("node").alias("b"), F.col("n").alias("nb"), "g")
-    both = rows.join(other, "g").filter("node < b").groupBy("node", "n", "b", "nb").agg(F.count("*").alias("n_both"))
-    either = F.col("n") + F.col("nb") - F.col("n_both")
-    return both.filter(10 * F.col("n_both") >= 8 * either).select(F.col("node.doc_id").alias("doc_a"), F.col("b.doc_id").alias("doc_b"), "n_both", either.alias("n_either"))
+@query(f"WITH {_PAIRED}, pp AS (SELECT a AS node, b AS other FROM p UNION ALL SELECT b, a FROM p) SELECT m.doc_id, count(other) AS n_partners FROM m LEFT JOIN pp USING (node) GROUP BY m.doc_id")
+def lsh_partners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per distinct text, how many others collide with it in a band."""
+    members = cut(_signed(spark, sf_dir).select("doc_id", dedup.bands(F.col("sig")).alias("keys")))
+    return dedup.partners(members, "doc_id", "keys")
 
 
 @query(f"WITH RECURSIVE {_KEPT} SELECT doc_id FROM v WHERE dropped IS NULL")
@@ -438,7 +425,8 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_ITEMS} SELECT * FROM it")
 def mix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return items(document_records(spark, sf_dir))
+    """The narrow index, written once: a mix reads it several times."""
+    return cut(items(document_records(spark, sf_dir)))
 
 
 def _names(values: list[str]) -> str:
@@ -474,7 +462,8 @@ _MIXED = "r AS (SELECT stage, domain, count(*) AS n_rows, count(DISTINCT (name,
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return items(document_records(spark, sf_dir))
+    """The narrow index, written once: a mix reads it several times."""
+    return cut(items(document_records(spark, sf_dir)))
 
 
 @query(f"WITH {_S1} SELECT name, idx, domain, tokens, pass FROM s1")
@@ -513,8 +502,7 @@ def mix_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_S1} SELECT s1.name, s1.idx, pass, doc.id, length(doc.answer) AS answer_chars FROM s1 JOIN doc ON doc.name = s1.name AND doc.idx = s1.idx")
 def mix_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The payload of stage 1, a copy for each time a record was taken."""
-    records = document_records(spark, sf_dir)
-    out = mix.gathered(stage1(items(records)), records)
+    out = mix.gathered(stage1(_items(spark, sf_dir)), document_records(spark, sf_dir))
     return out.select("name", "idx", "pass", "id", F.length(F.col("messages")[1]["content"]).alias("answer_chars"))
 
 

@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.storage import cut
 from ..operators import decontam, dedup, mix, quality, reasoning, render, split
 from ..sources import io
 from ..sources.catalog import Source, as_table
@@ -73,9 +74,9 @@ def curate(spark: SparkSession, raw: dict[str, DataFrame], sources: list[Source]
     require_gate(spark, safe, users, index, f"{root}/gate.json", settings.threshold)
     formatted = stage(spark, f"{root}/formatted", lambda: reasoning.assign(safe, settings.seed))
     reasoning.require_reasoning(formatted, catalog)
-    narrow = items(formatted)
+    narrow = cut(items(formatted))
     own = narrow.filter(~F.col("source").isin(list(settings.exclusive)))
-    first_mix = mix.stage_mix(own, settings.recipes["stage1"], settings.budget("stage1"), settings.seed, "stage1")
+    first_mix = cut(mix.stage_mix(own, settings.recipes["stage1"], settings.budget("stage1"), settings.seed, "stage1"))
     second = mix.stage_mix(own, settings.recipes["stage2"], settings.budget("stage2") * (1 - settings.replay), settings.seed, "stage2")
     second = second.unionByName(mix.replay(first_mix, settings.budget("stage2") * settings.replay, settings.seed), allowMissingColumns=True)
     third = mix.polish_stage(narrow, list(settings.exclusive), list(settings.longest), list(settings.hardest), settings.budget("stage3"))

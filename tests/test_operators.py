@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from loomline.functions.text import last_boxed, split_prose, split_think
+from loomline.functions.text import last_boxed, prose_parts, think_parts
 from loomline.operators import dedup, mix, normalize, quality, reasoning, split, validate
 from loomline.sources import io
 from loomline.sources.catalog import Source, as_table, available
@@ -24,7 +24,7 @@ def one(spark, value, *columns):
     ],
 )
 def test_split_think(spark, text, want):
-    assert one(spark, text, lambda c: split_think(c)[0], lambda c: split_think(c)[1]) == want
+    assert one(spark, text, lambda c: think_parts(c)["reasoning"], lambda c: think_parts(c)["answer"]) == want
 
 
 @pytest.mark.parametrize(
@@ -41,8 +41,7 @@ def test_last_boxed(spark, text, want):
 )
 def test_split_prose(spark, text, expected, want):
     df = spark.createDataFrame([(text, expected)], "x string, e string")
-    r, a = split_prose(F.col("x"), F.col("e"))
-    assert tuple(df.select(r, a).first()) == want
+    assert tuple(df.select(prose_parts(F.col("x"), F.col("e")).alias("p")).select("p.*").first()) == want
 
 
 def test_adapters_roles_and_guard(spark):
