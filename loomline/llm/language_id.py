@@ -5,7 +5,9 @@ space) per language; the matrix of log probabilities has a fixed number of
 rows (``buckets``) and a column per language, so its size does not depend on
 the corpus, and is broadcast.  Scoring treats a block of texts as a sparse
 matrix (the n-gram positions of all its texts) and sums the rows that each
-text selects with numpy.
+text selects with numpy.  The language is that of the greatest likelihood
+times prior; the score is the posterior with at most ``evidence`` n-grams
+counted as independent.  Neither depends on the other texts or their order.
 
 Defined results: a null text, an empty text and a text without any letter get
 ``und`` and score 0; ties between languages go to the first in alphabetical
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import blocks, code_points, fresh, letter_table, release, small_batches, tidy
+from ._common import blocks, fresh, letter_table, release, small_batches, tidy
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
@@ -34,6 +36,17 @@ ORDERS = (1, 2, 3)
 MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 
 
+def spaced_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All texts as one array of code points and the offsets of the texts (one
+    more than there are texts).  Before and after each stand as many line feeds
+    as an n-gram reads beyond its last letter, so none reads a neighbour."""
+    gap = "\n" * (max(ORDERS) - 1)
+    offsets = np.full(len(texts) + 1, len(gap), np.int64)
+    offsets[1:] += np.cumsum(np.fromiter((len(t) + len(gap) for t in texts), np.int64, len(texts)))
+    joined = gap + "".join(t + gap for t in texts)
+    return np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32), offsets
+
+
 def ngram_buckets(low: np.ndarray, order: int, bits: int) -> np.ndarray:
     """The bucket of the n-gram that ends at each position (the first ones wrap)."""
     h = (low + np.uint32(order * 7919)) * np.uint32(MULTIPLIERS[0])
@@ -62,7 +75,7 @@ class LanguageModel:
             return names, scores
         table = letter_table()
         for first, run in blocks(texts):
-            points, offsets = code_points(run)
+            points, offsets = spaced_points(run)
             low = table[points]
             letters = np.add.reduceat((low != 32).astype(np.int64), offsets[:-1])
             total = np.zeros((len(run), k))
@@ -74,12 +87,12 @@ class LanguageModel:
                 rows = np.zeros((len(piece) - (at - lo), k), np.float32)
                 for order in ORDERS:
                     rows += self.log_prob[ngram_buckets(piece, order, self.bits)[at - lo :]]
-                a, b = np.searchsorted(offsets, at, "right") - 1, np.searchsorted(offsets, at + len(rows), "left")
+                a, b = max(0, np.searchsorted(offsets, at, "right") - 1), np.searchsorted(offsets, at + len(rows), "left")
                 cuts = np.maximum(offsets[a:b] - at, 0)
                 total[a : a + len(cuts)] += np.add.reduceat(rows, cuts, axis=0, dtype=np.float64)
             length = np.diff(offsets)
+            best = (total + self.prior).argmax(axis=1)
             scaled = total * (np.minimum(length, self.evidence) / length / len(ORDERS))[:, None] + self.prior
-            best = scaled.argmax(axis=1)
             odds = np.exp(scaled - scaled.max(axis=1, keepdims=True))
             share = odds[np.arange(len(run)), best] / odds.sum(axis=1)
             for i in np.flatnonzero(letters):
@@ -92,9 +105,9 @@ def count_ngrams(texts: pa.Array, bits: int) -> np.ndarray:
     counts = np.zeros(1 << bits, np.int64)
     table = letter_table()
     for _, run in blocks(texts.to_pylist()):
-        low = table[code_points(run)[0]]
+        points, offsets = spaced_points(run)
         for order in ORDERS:
-            counts += np.bincount(ngram_buckets(low, order, bits), minlength=1 << bits)
+            counts += np.bincount(ngram_buckets(table[points], order, bits)[offsets[0] :], minlength=1 << bits)
     return counts
 
 
@@ -145,7 +158,8 @@ def train(
     matrix = np.full((1 << bits, len(languages)), smoothing)
     columns = counted["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(np.int64)
     matrix[counted["bucket"].to_numpy(np.int64), columns] += counted["n"].to_numpy(np.float64)
-    log_prob = np.log(matrix / matrix.sum(axis=0)).astype(np.float32)
+    # in steps of 2**-16, so that sums are exact and don't depend on how texts are dealt into blocks
+    log_prob = (np.round(np.log(matrix / matrix.sum(axis=0)) * 65536) / 65536).astype(np.float32)
     total = np.array([sizes[x] for x in languages], float)
     return LanguageModel(languages, log_prob, np.log(total / total.sum()), bits)
 
