@@ -127,6 +127,7 @@ SELECT CAST(page_id AS BIGINT) AS page_id, host, path, rule, CASE
     WHEN rule IN ('com/en/', 'example.net/de/8', 'org/es/') THEN 'block'
     WHEN rule IS NOT NULL THEN 'allow'
     WHEN regexp_matches(lower(coalesce(url, '')), '/wp-login\.php([?#]|$)|[?&]phpsessionid=|[?&]jsessionid=|/cgi-bin/|/checkout/cart([/?#]|$)|\.exe([?#]|$)|[./]doubleclick\.net/|/(ad|ads)/(click|track)') THEN 'block'
+    WHEN regexp_matches(lower(coalesce(url, '')), '/wp-admin/|/xmlrpc\.php([?#]|$)|[?&](sessionid|phpsessid|replytocom)=|/(signin|signup|login|logout|register)([/?#]|$)|/cart/(add|remove)([/?#]|$)|\.(zip|rar|iso|apk|dmg|msi)([?#]|$)|[./](googlesyndication|adnxs|scorecardresearch)\.com/|/(print|email)-this-page([/?#]|$)') THEN 'block'
     ELSE 'allow' END AS verdict FROM r
 """
 

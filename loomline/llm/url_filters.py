@@ -5,13 +5,16 @@ pattern rule (a regular expression over the lower-cased URL).  For each rule
 the literal tokens (runs of a-z and 0-9) are found that any fitting URL must
 hold as whole tokens.  The rule is filed under the rarest of them, by counts
 over all URLs.  The tokens of a URL fetch candidate rules, and only those are
-tried; a rule without such a token is tried on every URL.
+tried.  Alternatives of a pattern are filed apart, so that a pattern that
+begins with a choice of words has a token too; a rule of which an alternative
+has none is tried on every URL.
 
 The longest fitting host rule decides; else a fitting pattern rule blocks
 (or allows, the first in the list winning); else the URL is allowed.
 
 Defined results: a null URL or one without ``://`` has empty host and path, so
-no host rule fits it.  Repeated rows are judged one by one.  The rules are a
+no host rule fits it.  Very long URLs are judged whole, repeated rows one by
+one; an empty table gives no row; columns of the result's names are replaced.  The rules are a
 parameter on the driver; ``MAX_RULES`` bounds what is broadcast.
 """
 
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 from ._common import fresh
 
 MAX_RULES = 1_000_000
+MAX_ALTERNATIVES = 64
 TOKEN = re.compile(r"[a-z0-9]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -61,9 +65,36 @@ def _clean(items: list, last: bool) -> bool:
     return False
 
 
-def pattern_tokens(pattern: str) -> set[str]:
-    """Tokens that every string matched by ``pattern`` holds as whole tokens."""
-    items = list(sre_parser.parse(pattern))
+def _flat(items: list) -> list:
+    """``items`` with plain groups opened."""
+    out = []
+    for op, arg in items:
+        if op is sre.SUBPATTERN and not arg[1] and not arg[2]:
+            out += _flat(list(arg[3]))
+        else:
+            out.append((op, arg))
+    return out
+
+
+def alternatives(pattern: str) -> list[list]:
+    """The parsed pattern as up to ``MAX_ALTERNATIVES`` sequences, of which each match fits one."""
+    done: list[list] = [[]]
+    waiting = _flat(list(sre_parser.parse(pattern)))
+    while waiting:
+        op, arg = waiting.pop(0)
+        if op is sre.BRANCH and len(done) * len(arg[1]) <= MAX_ALTERNATIVES:
+            done = [d + _flat(list(way)) for d in done for way in arg[1]]
+        else:
+            done = [[*d, (op, arg)] for d in done]
+    return done
+
+
+def pattern_tokens(pattern: str) -> list[set[str]]:
+    """For each alternative of ``pattern``: tokens that every string matched by it holds as whole tokens."""
+    return list(map(set, dict.fromkeys(frozenset(_whole_tokens(items)) for items in alternatives(pattern))))
+
+
+def _whole_tokens(items: list) -> set[str]:
     out, i = set(), 0
     while i < len(items):
         j = i
@@ -85,9 +116,9 @@ class HostRule:
     def name(self) -> str:
         return self.host + self.path
 
-    def tokens(self) -> set[str]:
+    def tokens(self) -> list[set[str]]:
         whole = self.path.lower() if not TOKEN.search(self.path.lower()[-1:]) else self.path.lower().rpartition(TOKEN.findall(self.path.lower())[-1])[0]
-        return {*TOKEN.findall(self.host), *TOKEN.findall(whole)}
+        return [{*TOKEN.findall(self.host), *TOKEN.findall(whole)}]
 
     def fits(self, url: str, host: str, path: str) -> bool:
         return (host == self.host or host.endswith("." + self.host)) and path.startswith(self.path)
@@ -102,14 +133,14 @@ class PatternRule:
     def name(self) -> str:
         return self.pattern
 
-    def tokens(self) -> set[str]:
+    def tokens(self) -> list[set[str]]:
         return pattern_tokens(self.pattern)
 
     def fits(self, url: str, host: str, path: str) -> bool:
         return re.search(self.pattern, url) is not None
 
 
-#: Pattern rules of the method, over lower-cased URLs: sessions, logins, carts, binaries, trackers.
+#: Pattern rules of the method, over lower-cased URLs: sessions, logins, carts, archives and programs, trackers, forms.
 PATTERNS = (
     PatternRule("block", r"/wp-login\.php(?:[?#]|$)"),
     PatternRule("block", r"[?&]phpsessionid="),
@@ -119,6 +150,14 @@ PATTERNS = (
     PatternRule("block", r"\.exe(?:[?#]|$)"),
     PatternRule("block", r"[./]doubleclick\.net/"),
     PatternRule("block", r"/(?:ad|ads)/(?:click|track)"),
+    PatternRule("block", r"/wp-admin/"),
+    PatternRule("block", r"/xmlrpc\.php(?:[?#]|$)"),
+    PatternRule("block", r"[?&](?:sessionid|phpsessid|replytocom)="),
+    PatternRule("block", r"/(?:signin|signup|login|logout|register)(?:[/?#]|$)"),
+    PatternRule("block", r"/cart/(?:add|remove)(?:[/?#]|$)"),
+    PatternRule("block", r"\.(?:zip|rar|iso|apk|dmg|msi)(?:[?#]|$)"),
+    PatternRule("block", r"[./](?:googlesyndication|adnxs|scorecardresearch)\.com/"),
+    PatternRule("block", r"/(?:print|email)-this-page(?:[/?#]|$)"),
 )
 
 
@@ -135,9 +174,10 @@ class RuleIndex:
         out = cls()
         for n, rule in enumerate(rules):
             out.order[rule] = n
-            tokens = rule.tokens()
-            if tokens:
-                out.by_token.setdefault(min(tokens, key=lambda t: (counts.get(t, 0), t)), []).append(rule)
+            ways = rule.tokens()
+            if all(ways):
+                for token in {min(way, key=lambda t: (counts.get(t, 0), t)) for way in ways}:
+                    out.by_token.setdefault(token, []).append(rule)
             else:
                 out.always.append(rule)
         return out
@@ -149,7 +189,7 @@ class RuleIndex:
         tried = list(self.always)
         for token in set(TOKEN.findall(low)):
             tried += self.by_token.get(token, ())
-        fitting = [r for r in tried if r.fits(low, host, path)]
+        fitting = [r for r in dict.fromkeys(tried) if r.fits(low, host, path)]
         hosts = [r for r in fitting if isinstance(r, HostRule)]
         if hosts:
             best = max(hosts, key=lambda r: (len(r.name), -self.order[r]))
@@ -160,7 +200,7 @@ class RuleIndex:
 
 def token_counts(urls: DataFrame, url: str, rules: list) -> dict[str, int]:
     """How many URL tokens of the whole table equal each literal token of the rules."""
-    wanted = sorted({t for r in rules for t in r.tokens()})
+    wanted = sorted({t for r in rules for way in r.tokens() for t in way})
     if not wanted:
         return {}
     spark = urls.sparkSession
