@@ -10,7 +10,10 @@ where the first document of a block began, however many blocks back.
 
 Defined results: two separators in a row bound an empty document (0 tokens);
 tokens after the last separator are one more document, ``closed`` false; an
-empty file has no document; bytes after the last whole id are ignored.
+empty file has no document; bytes after the last whole id are ignored.  Null
+and empty texts have no token; repeated rows are documents of their own; a null
+id stays null; an id that does not fit the width raises.  Only the named
+columns are read, so further columns never clash.
 """
 
 from __future__ import annotations
@@ -42,6 +45,8 @@ def write_token_files(
     another file; only files named in the result count.  A null text has no
     token; strings of special tokens are ordinary text.
     """
+    if width not in (2, 4) or end_id >> (8 * width):
+        raise ValueError(f"width {width} is not 2 or 4, or end id {end_id} does not fit it")
     small_batches(docs.sparkSession)
     path = tokenizer_path or default_path()
     schema = pa.schema([("path", pa.string()), ("part", pa.int32()), ("ordinal", pa.int64()), ("doc_id", pa.int64())])
@@ -58,6 +63,8 @@ def write_token_files(
                 for at in range(0, batch.num_rows, 256):
                     rows = batch.slice(at, 256)
                     for ids in known.encode(rows.column(1).to_pylist()):
+                        if len(ids) and int(ids.max()) >> (8 * width):
+                            raise ValueError(f"token id {ids.max()} does not fit {width} bytes")
                         out.write(np.append(ids, np.uint32(end_id)).astype(f"<u{width}").tobytes())
                     k = rows.num_rows
                     yield pa.RecordBatch.from_arrays([pa.array([target] * k), pa.array([part] * k, pa.int32()), pa.array(np.arange(n, n + k)), rows.column(0)], schema=schema)

@@ -4,11 +4,13 @@ A text is cut at ASCII white space and between a letter and a following ASCII
 character that is no letter.  No token of the word tokenizer crosses these
 cuts, so the ids of a text are the ids of its pieces.  Pieces are hashed with
 numpy and looked up in sorted arrays; only pieces not met before go through
-the tokenizer.  Texts that hold a special token's string take the plain path.
+the tokenizer.  Texts that hold a special token's string take the plain path,
+and so do all texts where the tokenizer file is another one.
 """
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
@@ -37,6 +39,24 @@ def _classes() -> np.ndarray:
     return out
 
 
+#: Normaliser and pre-tokenizer under which no token crosses the cuts (fixed values of the word tokenizer's file).
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def _known_cuts(tokenizer) -> bool:
+    """Whether texts may be cut into pieces, and pieces lower-cased: only where
+    the normaliser and the pre-tokenizer are known to allow it."""
+    spec = json.loads(tokenizer.to_str())
+    return spec["normalizer"] == _NORMALIZER and spec["pre_tokenizer"] == _PRE_TOKENIZER
+
+
 class WordTokenizer:
     """``encode(texts)`` gives all ids as one array and the offsets of the texts.
 
@@ -52,6 +72,7 @@ class WordTokenizer:
         self.tokenizer.encode_special_tokens = specials_as_text
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.specials_as_text = specials_as_text
+        self.cuts = _known_cuts(self.tokenizer)
         self.classes = _classes()
         self.lower = np.arange(0x110000, dtype=np.uint32)
         self.lower[65:91] += 32
@@ -114,6 +135,9 @@ class WordTokenizer:
         """The ids of each text, as arrays of unsigned 32-bit integers."""
         out: list[np.ndarray] = []
         for _, run in blocks(texts):
+            if not self.cuts:
+                out += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(run, add_special_tokens=False)]
+                continue
             odd = set() if self.specials_as_text else {i for i, t in enumerate(run) if "<|" in t and any(s in t for s in self.specials)}
             ids, bounds = self._block(["" if i in odd else t for i, t in enumerate(run)])
             out += [self.plain(run[i]) if i in odd else ids[bounds[i] : bounds[i + 1]] for i in range(len(run))]
