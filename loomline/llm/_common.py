@@ -4,9 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import os
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -14,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.storage import remove, shared_dir, written  # noqa: F401  shared with the operators
+
 #: Code points of text that one numpy pass handles together; a longer text is a block of its own.
 BLOCK_CHARS = 1 << 18
 
@@ -28,33 +27,6 @@ def fresh(df: DataFrame, base: str) -> str:
     return name
 
 
-def shared_dir(spark: SparkSession, what: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``, which driver and executors share.
-
-    The setting is read from the session.  Only where it is unset, as in tests
-    on one machine, a local folder takes its place.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = "file://" + os.path.join(tempfile.gettempdir(), "loomline-shared")
-    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, what: str) -> DataFrame:
-    """``df`` written as Parquet to shared storage and read back: a cut of the
-    lineage that survives lost executors and is computed once."""
-    path = shared_dir(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of shared storage."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    target = hadoop.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Hand texts to Python in batches of ``rows`` rows at most: a batch stands
     in memory several times (Arrow on both sides, Python strings)."""

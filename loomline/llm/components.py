@@ -1,7 +1,8 @@
 """Connected components of a table of links, by alternating large and small stars.
 
-Links never come to the driver.  Each step is an aggregate and a join whose
-result is written to shared storage, so a lost executor costs one step.
+Links never come to the driver.  Each step is an aggregate and a join, each
+written to shared storage, so a lost executor costs one step, and adaptive
+execution can split the join at a star that very many links have.
 """
 
 from __future__ import annotations
@@ -19,13 +20,13 @@ def _state(links: DataFrame) -> tuple:
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
     return both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = written(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     to = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return to.unionByName(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
 
@@ -36,7 +37,7 @@ def components(links: DataFrame) -> DataFrame:
     links = written(links.select("a", "b").filter("a <> b").distinct(), "links")
     state = _state(links)
     while True:
-        links = written(_small_star(_large_star(links)), "links")
+        links = written(_small_star(written(_large_star(links), "links")), "links")
         now = _state(links)
         if now == state:
             return links.select(F.col("a").alias("node"), F.col("b").alias("component"))

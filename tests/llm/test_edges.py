@@ -50,6 +50,29 @@ def test_language(spark, odd):
     assert pieces.predict([LONG * 5])[0] in (["x"], ["y"])
 
 
+def test_language_depends_on_the_text_alone(spark):
+    """Scores are equal however rows are dealt and ordered, and the language is that of the plain model."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    model = language_id.train(docs)
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(-1, "zzz"), (-2, ""), (-3, None), (-4, "a")]
+    one = dict(zip([i for i, _ in rows], zip(*model.predict([t for _, t in rows]), strict=True), strict=True))
+    random.Random(1).shuffle(rows)
+    two = dict(zip([i for i, _ in rows], zip(*model.predict([t for _, t in rows]), strict=True), strict=True))
+    alone = {i: tuple(x[0] for x in model.predict([t])) for i, t in rows[:60]}
+    assert one == two and all(one[i] == a for i, a in alone.items())
+    again = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(docs.repartition(3, "text"), model).collect()}
+    assert all(one[i] == v for i, v in again.items())
+    table = language_id.letter_table()
+    for i, text in rows[:60]:
+        if any(c.isalpha() for c in text or ""):
+            low = [32, 32, *(int(table[ord(c)]) for c in text), 32, 32]
+            total = model.prior.copy()
+            for order in language_id.ORDERS:
+                for at in range(2, len(low)):
+                    total += model.log_prob[language_id.ngram_buckets(np.array(low[at - order + 1 : at + 1], np.uint32), order, model.bits)[-1]]
+            assert one[i][0] == model.languages[int(total.argmax())]
+
+
 def test_near_dedup(spark, odd):
     got = {(r.id, r.class_id) for r in near_dedup.classes(odd).collect()}
     assert got == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 4), (6, 6), (7, 7), (8, 8), (9, 9), (10, 10)}
@@ -270,7 +293,11 @@ def test_quality_rules(spark, odd):
     assert (by[1].n_repeat_words, by[2].n_repeat_words, by[3].n_dup_lines, by[4].n_words) == (7, 4, 2, 3)
     assert quality_rules.judge(odd.limit(0), sample=odd.limit(0)).count() == 0
     estimates = quality_rules.estimate(odd)
-    assert {e.rule for e in estimates} == set(quality_rules.RULES)
+    assert {e.rule for e in estimates} == set(quality_rules.RULES) and all(e.seconds > 0 for e in estimates)
+    free = quality_rules.Rule("free", lambda: F.lit(False))
+    dear = quality_rules.Rule("dear", lambda: F.length(F.regexp_replace("q_text", "[aeiou]+x", "")) < 0)
+    cost = {e.rule.name: e.seconds for e in quality_rules.estimate(odd, rules=(free, dear))}
+    assert cost["dear"] > 3 * cost["free"], "job start-up is not part of a rule's cost"
 
 
 def test_url_rules(spark):
@@ -287,7 +314,19 @@ def test_url_rules(spark):
     plain.by_token = {}
     assert all(index.judge(u) == plain.judge(u) for u in urls)
     assert url_filters.judge_urls(df.limit(0), rules).count() == 0
-    assert url_filters.pattern_tokens(r"/wp-login\.php(?:[?#]|$)") == {"wp", "login", "php"} and url_filters.pattern_tokens(r"ab*c") == set()
+    assert url_filters.pattern_tokens(r"/wp-login\.php(?:[?#]|$)") == [{"wp", "login", "php"}] and url_filters.pattern_tokens(r"ab*c") == [set()]
+    assert [sorted(w) for w in url_filters.pattern_tokens(r"/(?:ad|ads)/(?:click|track)")] == [["ad"], ["ads"]]
+    assert not url_filters.RuleIndex.build(list(url_filters.PATTERNS), {}).always
+
+
+def test_url_patterns_decide(spark):
+    """A URL for each pattern rule, and near misses: verdicts as by plain search, through the index."""
+    hit = ["/wp-login.php", "/x?phpsessionid=1", "/x?a=1&jsessionid=2", "/cgi-bin/a", "/checkout/cart", "/a.exe?x", "/ads/click", "/ad/tracker", "/wp-admin/", "/xmlrpc.php", "/p?replytocom=4", "/login", "/cart/add/3", "/f.zip", "/email-this-page"]
+    miss = ["/wp-login.phpx", "/jsessionid=2", "/checkout/carts", "/executive", "/adsclick", "/logins", "/f.zipper", "/cart/address"]
+    urls = ["http://h.org" + x for x in [*hit, *miss]] + ["http://ad.doubleclick.net/x", "http://x.adnxs.com/", "http://notdoubleclick.net/x"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id int, url string")
+    got = {r.url: r.verdict for r in url_filters.judge_urls(df, list(url_filters.PATTERNS)).collect()}
+    assert [got[u] == "block" for u in urls] == [True] * len(hit) + [False] * len(miss) + [True, True, False]
 
 
 def test_token_scan_across_blocks(spark, odd, tmp_path):
@@ -311,12 +350,17 @@ def test_token_scan_across_blocks(spark, odd, tmp_path):
     manifest = token_counts.write_token_files(odd, shared_dir(spark, "t"))
     assert manifest.count() == len(ODD)
     assert token_counts.write_token_files(odd.limit(0), shared_dir(spark, "t")).count() == 0
+    with pytest.raises(ValueError):
+        token_counts.write_token_files(odd, shared_dir(spark, "t"), end_id=1 << 16)
 
 
 def test_tokenizer_equals_plain():
     t = WordTokenizer(default_path(), memory=50)
     texts = ["It's 'street don't(x)y's 12ab3 é́x İI ﬁ", None, "", " ", "hé,'s日本語！ok 12.5% a'll'd 's's", "a\x1cb\xa0c <|endoftext|> x<|endoftext|>y", "ΑΣ Σ. ≮ ≠x", *[prose(40, i) for i in range(5)]]
     assert [t.plain(x or "").tolist() for x in texts] == [y.tolist() for y in t.encode(texts)]
+    other = WordTokenizer(default_path("byte_bpe_50k.json"))
+    plain = [x or "" for x in texts if "<|" not in (x or "")]
+    assert [other.plain(x).tolist() for x in plain] == [y.tolist() for y in other.encode(plain)]
     s = WordTokenizer(default_path(), specials_as_text=True)
     assert 49407 not in s.encode(["a <|endoftext|> b"])[0].tolist()
 
