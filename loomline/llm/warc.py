@@ -13,13 +13,16 @@ bytes between as a gap with the reason.  Offset and length of a record of a
 compressed file are those of its member; a gap inside a member has its offset
 and the length of the decompressed bytes that are lost.  A damaged member is
 logged as a gap as a whole, too; of its records those that state a digest are
-taken, but not one that ends where a cut member does.  A file is read in chunks; memory
-follows the largest record or member.
+taken, but not one that ends where a cut member does.  A file is read in chunks
+and a member decompressed in pieces, so memory follows the largest record.
+Headers of more than ``MAX_HEAD`` bytes are a failed check.
 
 Defined results: a null payload is empty; payloads of ``min_bytes`` at least
 are stored once, smaller ones always whole; rows that repeat the id of their
-response are responses too; a null id is written as such and read as null; an
-empty table gives no file.  A truncated file ends in a gap.
+response are responses too; a null id is written as such and read as null; a
+very long payload is one record, held whole while it is written or read; only
+the named columns are read, so further columns never clash; an empty table
+gives no file.  A truncated file ends in a gap.
 """
 
 from __future__ import annotations
@@ -43,10 +46,13 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAGIC = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/[0-9]{1,3}\.[0-9]{1,3}\r\n")
+LONGEST_VERSION = len(b"WARC/000.000\r\n")
 CHUNK = 1 << 18
 CUT = "member truncated"
-#: A salted key spreads a payload that a third of all rows hold over so many tasks.
-SALTS = 16
+#: Decompressed bytes of a member that are kept from its first reading; a larger one is decompressed again, piece by piece.
+KEPT = 1 << 22
+#: Bytes that the headers of a record may take.
+MAX_HEAD = 1 << 22
 
 
 #: Upper-case base32 of a SHA-1 digest in the hexadecimal column ``sha``.
@@ -60,15 +66,15 @@ def mark_duplicates(rows: DataFrame, min_bytes: int = 0) -> DataFrame:
     """``rows`` (id, url, payload) with payload_digest and response_id: the least
     id of the rows with an equal payload where it is not the row's own, else null.
 
-    Counts per digest are pre-aggregated; only digests that occur twice are
-    joined back, on a salted key.
+    Digests that occur twice, with their least id, are counted and written
+    first.  While they are few, the planner broadcasts them by their size and no
+    payload moves; else rows are joined by digest, and adaptive execution splits
+    a digest that very many rows have.
     """
     h = rows.withColumn("sha", F.sha1("payload"))
     twice = h.filter(F.length("payload") >= min_bytes).groupBy("sha").agg(F.count("*").alias("n"), F.min("id").alias("least")).filter("n > 1")
-    twice = twice.select("sha", "least", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    salted = h.withColumn("salt", F.when(F.length("payload") >= min_bytes, F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int")))
-    out = salted.join(twice, ["sha", "salt"], "left")
-    response = F.when(F.col("least").isNotNull() & ~F.col("id").eqNullSafe(F.col("least")), F.col("least"))
+    out = h.join(written(twice.select("sha", "least"), "repeated-payloads"), "sha", "left")
+    response = F.when((F.length("payload") >= min_bytes) & F.col("least").isNotNull() & ~F.col("id").eqNullSafe(F.col("least")), F.col("least"))
     return out.select("id", "url", "payload", F.expr(BASE32).alias("payload_digest"), response.alias("response_id"))
 
 
@@ -118,28 +124,29 @@ class Bad(Exception):
     """A failed check; the text is the reason."""
 
 
-def parse_record(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
-    """Headers (lower-case names), block and end of the record at ``at``; raises ``Bad``."""
-    if not VERSION.match(data, at):
+def parse_head(data: bytes | bytearray) -> tuple[dict[str, str], int, int] | None:
+    """Headers (lower-case names), and where the block of the record at the start
+    of ``data`` begins and ends; None if more bytes are needed; raises ``Bad``."""
+    line = VERSION.match(data)
+    if not line and len(data) >= LONGEST_VERSION:
         raise Bad("no version line")
-    stop = data.find(b"\r\n\r\n", at)
+    stop = data.find(b"\r\n\r\n")
     if stop < 0:
-        raise Bad("headers not closed")
+        if len(data) >= MAX_HEAD:
+            raise Bad("headers not closed")
+        return None
+    if not line:
+        raise Bad("no version line")
     headers: dict[str, str] = {}
-    for line in data[at:stop].split(b"\r\n")[1:]:
-        name, found, value = line.partition(b":")
+    for row in bytes(data[line.end() : stop]).split(b"\r\n") if stop > line.end() else []:
+        name, found, value = row.partition(b":")
         if not found or not name.strip():
             raise Bad("malformed header")
         headers[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
     size = headers.get("content-length", "")
-    if not size.isdecimal():
+    if not size.isdecimal() or len(size) > 15:
         raise Bad("no content length")
-    end = stop + 4 + int(size)
-    if len(data) < end + 4:
-        raise Bad("record truncated")
-    if data[end : end + 4] != b"\r\n\r\n":
-        raise Bad("record not closed")
-    return headers, data[stop + 4 : end], end + 4
+    return headers, stop + 4, stop + 4 + int(size)
 
 
 def payload_of(headers: dict[str, str], block: bytes) -> bytes:
@@ -176,73 +183,114 @@ class Source:
             keep, start = (keep + data)[-(len(what) - 1) :], start + len(data)
         return self.size
 
-    def member(self, at: int) -> tuple[bytes, int, str]:
-        """The gzip member at ``at``, its end, and why it is damaged, if it is:
-        then as far as it decompresses.  Its checksum is verified."""
-        z, out, p = zlib.decompressobj(wbits=31), [], at
+    def member(self, at: int) -> Iterator[bytes]:
+        """The bytes of the gzip member at ``at``, piece by piece, as far as it
+        decompresses; its checksum is verified.  The generator's value is the
+        member's end and why it is damaged, if it is."""
+        z, p = zlib.decompressobj(wbits=31), at
         while not z.eof:
-            data = self.chunk(p)
+            data = z.unconsumed_tail or self.chunk(p)
             if not data:
-                return b"".join(out), p, CUT
+                return p, CUT
+            p += 0 if z.unconsumed_tail else len(data)
+            before = z.copy()
             try:
-                out.append(z.decompress(data))
+                out = z.decompress(data, CHUNK)
             except zlib.error:
-                return b"".join([*out, self._whole_part(at, p, data)]), p, "bad gzip member"
-            p += len(data)
-            if len(out) == 1 and out[0][:5] and not out[0].startswith(b"WARC/"[: len(out[0][:5])]) and b"WARC/" not in out[0]:
-                raise Bad("no version line")
-        return b"".join(out), p - len(z.unused_data), ""
-
-    def _whole_part(self, at: int, bad: int, data: bytes) -> bytes:
-        """What the chunk ``data`` at ``bad`` gives before the error, byte by byte."""
-        z, p = zlib.decompressobj(wbits=31), at
-        while p < bad:
-            piece = self.file.read_at(min(CHUNK, bad - p), p)
-            z.decompress(piece)
-            p += len(piece)
+                yield from self._whole_part(before, data)
+                return p, "bad gzip member"
+            if out:
+                yield out
+        return p - len(z.unused_data), ""
+
+    @staticmethod
+    def _whole_part(z, data: bytes) -> Iterator[bytes]:
+        """What ``data`` gives before the error, byte by byte."""
         out = []
         try:
             for i in range(len(data)):
                 out.append(z.decompress(data[i : i + 1]))
         except zlib.error:
             pass
-        return b"".join(out)
-
-    def plain(self, at: int) -> tuple[bytes, int]:
-        """The bytes of the plain record at ``at``, as far as its headers say."""
-        data = self.chunk(at)
-        while b"\r\n\r\n" not in data and at + len(data) < self.size and len(data) < 1 << 22:
-            data += self.file.read_at(min(CHUNK, self.size - at - len(data)), at + len(data))
-        m = re.search(rb"\r\ncontent-length:[ \t]*([0-9]{1,15})[ \t]*\r\n", data[: data.find(b"\r\n\r\n") + 4], re.I)
-        need = data.find(b"\r\n\r\n") + 8 + int(m[1]) if m else 0
-        if need > len(data) and at + need <= self.size:
-            data += self.file.read_at(need - len(data), at + len(data))
-        return data, at
-
-
-def inside(data: bytes, why: str) -> Iterator[tuple]:
-    """('record', headers, block) and ('gap', length, reason) of a member's bytes.
-    ``why`` the member is damaged, if it is: then a record needs a digest."""
-    p, bad, reason = 0, -1, ""
-    while p < len(data):
+        yield b"".join(out)
+
+    def look(self, at: int) -> tuple[int, int, str, list[bytes] | None]:
+        """Of the member at ``at``: its end, its decompressed length, why it is
+        damaged, if it is, and its bytes unless they are more than ``KEPT``."""
+        size, kept, pieces = 0, [], self.member(at)
+        while True:
+            try:
+                piece = next(pieces)
+            except StopIteration as stop:
+                return stop.value[0], size, stop.value[1], kept
+            size += len(piece)
+            if kept is not None:
+                kept.append(piece)
+                kept = kept if size <= KEPT else None
+
+    def plain(self, at: int) -> Iterator[bytes]:
+        """The bytes of the plain file from ``at`` on."""
+        while data := self.chunk(at):
+            yield data
+            at += len(data)
+
+
+def inside(pieces: Iterator[bytes], total: int, why: str = "") -> Iterator[tuple]:
+    """('record', offset, length, headers, block) and ('gap', offset, length, reason, b'')
+    of ``total`` bytes that come in pieces.  ``why`` they are damaged, if they
+    are: then a record needs a digest.  One record is held at a time; a record
+    that says it is longer than what is left is bad at once."""
+    data, at, bad, reason, more = bytearray(), 0, -1, "", True
+    while True:
         try:
-            headers, block, end = parse_record(data, p)
+            head = parse_head(data) if data else None
+            if head is None:
+                if more:
+                    piece = next(pieces, None)
+                    more = piece is not None
+                    data += piece or b""
+                    continue
+                if not data:
+                    break
+                raise Bad("headers not closed" if VERSION.match(data) else "no version line")
+            headers, begin, end = head
+            if at + end + 4 > total:
+                raise Bad("record truncated")
+            while len(data) < end + 4:
+                data += next(pieces)
+            if data[end : end + 4] != b"\r\n\r\n":
+                raise Bad("record not closed")
+            block = bytes(data[begin:end])
             check_digest(headers, block)
-            if why and (not has_digest(headers) or why == CUT and end == len(data)):
+            if why and (not has_digest(headers) or why == CUT and at + end + 4 == total):
                 raise Bad(why)
         except Bad as error:
             if bad < 0:
-                bad, reason = p, str(error)
-            m = VERSION.search(data, p + 1)
-            p = m.start() if m else len(data)
+                bad, reason = at, str(error)
+            begin = 1
+            while not (m := VERSION.search(data, begin)):
+                # what may be the beginning of a version line stays
+                gone = max(begin, len(data) - LONGEST_VERSION)
+                piece = next(pieces, None)
+                if piece is None:
+                    gone, more = len(data), False
+                del data[:gone]
+                at, begin = at + gone, 0
+                if piece is None:
+                    break
+                data += piece
+            if m:
+                del data[: m.start()]
+                at += m.start()
             continue
         if bad >= 0:
-            yield "gap", p - bad, reason
+            yield "gap", bad, at - bad, reason, b""
             bad = -1
-        yield "record", headers, block
-        p = end
+        yield "record", at, end + 4, headers, block
+        del data[: end + 4]
+        at += end + 4
     if bad >= 0:
-        yield "gap", len(data) - bad, reason
+        yield "gap", bad, at - bad, reason, b""
 
 
 def has_digest(headers: dict[str, str]) -> bool:
@@ -252,38 +300,37 @@ def has_digest(headers: dict[str, str]) -> bool:
 
 def salvage(source: Source) -> Iterator[tuple]:
     """('record', offset, length, headers, block) and ('gap', offset, length, reason, b'')."""
+    if source.chunk(0)[:2] != MAGIC[:2] and source.find(MAGIC, 0) >= source.find(b"WARC/", 0):
+        yield from inside(source.plain(0), source.size)
+        return
     at, bad, reason = 0, -1, ""
-    compressed = source.chunk(0)[:2] == MAGIC[:2] or source.find(MAGIC, 0) < source.find(b"WARC/", 0)
     while at < source.size:
-        try:
-            if compressed:
-                data, end, why = source.member(at)
-                found = list(inside(data, why))
-                if not any(x[0] == "record" for x in found):
-                    raise Bad(why or (found[0][2] if found else "no version line"))
-            else:
-                data, _ = source.plain(at)
-                headers, block, n = parse_record(data)
-                check_digest(headers, block)
-                found, end, why = [("record", headers, block)], at + n, ""
-        except Bad as error:
-            if bad < 0:
-                bad, reason = at, str(error)
-            at = source.find(MAGIC if compressed else b"WARC/", at + 1)
-            continue
-        if bad >= 0:
-            yield "gap", bad, at - bad, reason, b""
-            bad = -1
+        end, size, why, kept = source.look(at)
+        found, some = inside(source.member(at) if kept is None else iter(kept), size, why), False
+        held: list[tuple] = []  # gaps before the first record
         if why:  # the bytes behind the damage may hold further members
             end = source.find(MAGIC, at + 1)
-        for kind, what, more in found:
+        for kind, where, n, what, block in found:
+            if kind == "record" and not some:
+                some = True
+                if bad >= 0:
+                    yield "gap", bad, at - bad, reason, b""
+                    bad = -1
+                yield from held
             if kind == "record":
-                yield "record", at, end - at, what, more
+                yield "record", at, end - at, what, block
+            elif some:
+                yield "gap", at, n, what, b""
             else:
-                yield "gap", at, what, more, b""
-        if why:
-            yield "gap", at, end - at, why, b""
-        at = end
+                held.append(("gap", at, n, what, b""))
+        if some:
+            if why:
+                yield "gap", at, end - at, why, b""
+            at = end
+            continue
+        if bad < 0:
+            bad, reason = at, why or (held[0][3] if held else "no version line")
+        at = source.find(MAGIC, at + 1)
     if bad >= 0:
         yield "gap", bad, source.size - bad, reason, b""
 

@@ -436,10 +436,33 @@ def test_warc_salvage_inside_a_member():
     hurt[-6] ^= 0xFF  # the checksum
     got, gaps = read(bytes(hurt) + gzip.compress(good[0]))
     assert got == [*bodies, bodies[0]] and gaps == ["bad gzip member"]
+    ten = [warc.record(i, "u", p, digest(p), None) for i, p in enumerate(rng.randbytes(900) for _ in range(10))]
+    got, gaps = read(gzip.compress(b"".join([*ten[:4], lie, *ten[4:]])))
+    assert len(got) == 10 and gaps == ["payload digest differs"]
+    assert len(read(gzip.compress(b"".join([*ten[:4], lie, *ten[4:]]))[:-20])[0]) >= 9
     old = [g.replace(b"WARC/1.1", b"WARC/0.18", 1) for g in good]
     assert read(gzip.compress(b"".join(old))) == (bodies, []) == read(b"".join(old))
 
 
+def test_warc_memory_follows_a_record():
+    """A member of many records is read piece by piece, as is a long stretch of junk in it."""
+    import base64
+    import gzip
+    import hashlib
+    import tracemalloc
+
+    import pyarrow as pa
+
+    body = bytes(200_000)
+    one = warc.record(1, "u", body, base64.b32encode(hashlib.sha1(body).digest()).decode(), None)
+    data = gzip.compress(one * 60 + b"\0" * 30_000_000 + one * 60)
+    tracemalloc.start()
+    kinds = [(g[0], g[3] if g[0] == "gap" else len(g[4])) for g in warc.salvage(warc.Source(pa.BufferReader(data), len(data)))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [k for k, _ in kinds] == ["record"] * 60 + ["gap"] + ["record"] * 60 and peak < 15_000_000
+
+
 def test_small_helpers(spark):
     assert fresh(spark.range(1).withColumnRenamed("id", "A"), "a") == "a_1"
     v = np.array([5, 6, 7, 5, 6, 7], np.uint32)
