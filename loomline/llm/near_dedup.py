@@ -2,12 +2,12 @@
 
 A text is a weighted set of its shingles, runs of five words (lower-cased
 letters, digits and underscores; a shorter text is one shingle).  A shingle's
-weight is its count in the text times one plus the mean inverse document
-frequency of its words, scaled to 0..1 by the logarithm of the number of
-documents.  Frequencies are those of words, counted over all documents into a
-fixed number of buckets: nearly every shingle occurs once in a corpus, and
-those that don't are the copies looked for, which their own frequency would
-hide.
+weight is its count in the text times one plus its inverse document frequency,
+scaled to 0..1 by the logarithm of the number of documents.  Document
+frequencies of shingles are counted over all documents into a fixed number of
+buckets of their hash.  The one is there because the frequent shingles of a
+corpus are above all those of its copies: with the bare inverse frequency a
+large group's common text would weigh next to nothing against a small edit.
 
 Improved consistent weighted sampling draws ``bands * rows`` samples; two
 texts share a sample with the probability of their weighted Jaccard
@@ -19,13 +19,13 @@ pairs are made.  First each member is compared with one pivot, the member that
 shares most buckets with others: of many edits of a text that is the text
 itself or the least edited one.  Links are joined into components, and a bucket
 whose members lie in one class is done.  In the others, members of different
-classes are paired if 320 further samples say that they may be links, and these
-pairs are verified like the first.  So links that would join two classes are
+classes are paired if they share one of 40 bands of 320 further samples and
+these say that they may be links, and the pairs are verified like the first.  So links that would join two classes are
 found too, and a group of many copies makes few pairs.
 
 Defined results: null and empty texts are alone in their class; texts without
-a word are equal only to the same text; a row with a null id has a null class
-and is kept; rows that repeat an id and a text are one document, and rows that
+a word are equal only to the same text; very long texts are compared whole; a
+row with a null id is in no class: its class is null, and it is kept; rows that repeat an id and a text are one document, and rows that
 share an id alone stand or fall together; an empty table gives no row.  Further columns are passed through by ``keep_first``.
 """
 
@@ -55,24 +55,41 @@ class Plan:
     rows: int = 5
     seed: int = 11
     #: Further samples of texts in undecided buckets, and the least share of
-    #: equal ones that a pair must show there: three standard deviations below
-    #: the threshold, so one true link in a thousand at the very threshold fails.
+    #: equal ones that a pair must show there: five standard deviations below the
+    #: threshold.  Bands of eight of them find a pair at it with 0.9994.
     fine: int = 320
-    fine_least: float = 0.73
+    fine_least: float = 0.68
 
 
 @dataclass(frozen=True)
 class Frequencies:
-    """Scaled inverse document frequency by bucket of a word's hash."""
+    """Scaled inverse document frequency by bucket of a shingle's hash."""
 
     idf: np.ndarray
 
-    def of(self, words: np.ndarray) -> np.ndarray:
-        return self.idf[(words >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+    def of(self, shingles: np.ndarray) -> np.ndarray:
+        return self.idf[bucket_of(shingles)]
 
 
-def word_frequencies(docs: DataFrame, text: str = "text") -> Frequencies:
-    """Document frequencies of all words of all documents, in fixed buckets."""
+def bucket_of(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def shingles_of(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words; of fewer words, of all of them."""
+    k = min(size, len(words))
+    if not k:
+        return np.zeros(0, np.uint64)
+    n = len(words) - k + 1
+    h = np.zeros(n, np.uint64)
+    for j in range(k):
+        h = (h ^ words[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return mix64(h)
+
+
+def shingle_frequencies(docs: DataFrame, text: str = "text", size: int = Plan.shingle) -> Frequencies:
+    """Document frequencies of all shingles of all documents, in fixed buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, n = np.zeros(1 << SKETCH_BITS, np.int64), 0
@@ -80,10 +97,15 @@ def word_frequencies(docs: DataFrame, text: str = "text") -> Frequencies:
             n += batch.num_rows
             for _, texts in blocks(batch.column(0).to_pylist()):
                 words, first = lower_words(texts)
-                bucket = (words >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-                owner = np.repeat(np.arange(len(texts)), np.diff(first))
-                once = np.unique(owner << SKETCH_BITS | bucket)
-                counts += np.bincount(once & ((1 << SKETCH_BITS) - 1), minlength=1 << SKETCH_BITS)
+                length = np.diff(first)
+                # runs that stay in their text, of all texts at once; texts of fewer words one by one
+                long = shingles_of(words, size) if len(words) >= size else np.zeros(0, np.uint64)
+                owner = np.repeat(np.arange(len(texts)), length)[: len(long)]
+                own = np.flatnonzero(np.arange(len(long)) + size <= first[owner + 1])
+                codes = [owner[own] << SKETCH_BITS | bucket_of(long[own])]
+                short = np.flatnonzero((length > 0) & (length < size))
+                codes += [np.array([i << SKETCH_BITS]) | bucket_of(shingles_of(words[first[i] : first[i + 1]], size)) for i in short]
+                counts += np.bincount(np.unique(np.concatenate(codes)) & ((1 << SKETCH_BITS) - 1), minlength=1 << SKETCH_BITS)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1).astype(np.int32)), pa.array(np.append(counts[used], n))], ["bucket", "n"])
 
@@ -97,18 +119,8 @@ def word_frequencies(docs: DataFrame, text: str = "text") -> Frequencies:
 
 def weighted_shingles(words: np.ndarray, frequencies: Frequencies, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of one text, by hash, and their weights."""
-    if not len(words):
-        return np.zeros(0, np.uint64), np.zeros(0, np.float32)
-    k = min(size, len(words))
-    n = len(words) - k + 1
-    idf = frequencies.of(words)
-    h, mean = np.zeros(n, np.uint64), np.zeros(n, np.float32)
-    for j in range(k):
-        h = (h ^ words[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-        mean += idf[j : j + n]
-    unique, at, count = np.unique(mix64(h), return_index=True, return_counts=True)
-    return unique, (count * (1 + mean[at] / k)).astype(np.float32)
+    unique, count = np.unique(shingles_of(words, size), return_counts=True)
+    return unique, (count * (1 + frequencies.of(unique))).astype(np.float32)
 
 
 class Sampler:
@@ -263,11 +275,10 @@ def _differing(a: str, b: str, longs: int) -> str:
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", plan: Plan = Plan()) -> DataFrame:
-    """A row for each row of ``docs`` with an id: id and class_id, the least id
-    of its class."""
+    """A row for each row of ``docs``: id and class_id, the least id of its class."""
     spark = docs.sparkSession
     small_batches(spark)
-    frequencies = word_frequencies(docs, text)
+    frequencies = shingle_frequencies(docs, text, plan.shingle)
     shared = spark.sparkContext.broadcast(frequencies)
     signed = signatures(docs, frequencies, text, key, plan)
     nodes = signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("rep"), F.first("weight").alias("weight"), F.first("bands").alias("bands"))
@@ -292,14 +303,14 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", plan: Plan
     if not apart.isEmpty():
         some = apart.select("node").distinct()
         sketches = written(fine_sketches(texts.join(some, "node", "left_semi"), shared, plan), "fine-sketches")
-        rows = apart.join(sketches, "node").join(nodes.select("node", "bands"), "node")
-        other = rows.select(F.col("band").alias("o_band"), *(F.col(c).alias(f"o_{c}") for c in ("node", "weight", "component", "sketch", "bands")))
+        # bands of eight samples: half of each long
+        halves = F.array(*(F.struct(F.lit(j).alias("j"), F.shiftrightunsigned(F.col("sketch")[j // 2], 32 * (j % 2)).bitwiseAND(0xFFFFFFFF).alias("part")) for j in range(plan.fine // 8)))
+        rows = written(apart.join(sketches, "node").select("band", "node", "weight", "component", "sketch", F.inline(halves)), "fine-bands")
+        other = rows.select("band", "j", "part", *(F.col(c).alias(f"o_{c}") for c in ("node", "weight", "component", "sketch")))
         most = int(plan.fine * (1 - plan.fine_least) * 15 / 16)
         close = F.expr(f"{_differing('sketch', 'o_sketch', plan.fine // 16)} <= {most}")
         across = (F.col("node") < F.col("o_node")) & (F.col("component") != F.col("o_component")) & like(F.col("weight"), F.col("o_weight")) & close
-        # a pair is made in the first band it shares; in a bucket of two it was compared already
-        across = across & (F.array_min(F.array_intersect("bands", "o_bands")) == F.col("band"))
-        more = rows.join(other, (F.col("band") == F.col("o_band")) & across).select(F.col("node").alias("a"), F.col("o_node").alias("pivot")).distinct()
+        more = rows.join(other, ["band", "j", "part"]).filter(across).select(F.col("node").alias("a"), F.col("o_node").alias("pivot")).distinct()
         more = written(_verified(more, texts, shared, plan), "near-links")
         if not more.isEmpty():
             joined = components(links.unionByName(more))
@@ -308,7 +319,9 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", plan: Plan
     ids = of_class.unionByName(heads.join(joined.select("component").distinct(), "component")).groupBy("component").agg(F.min("rep").alias("class"))
     named = nodes.select("node", "rep").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")).join(ids, "component", "left")
     named = named.select("node", F.coalesce("class", "rep").alias("class"))
-    return signed.select("id", "node").join(named, "node", "left").select("id", F.coalesce("class", "id").alias("class_id"))
+    found = signed.select("id", "node").join(named, "node", "left").select("id", F.coalesce("class", "id").alias("class_id"))
+    nameless = docs.select(as_id(key).alias("id")).filter("id IS NULL").select("id", F.lit(None).cast("long").alias("class_id"))
+    return found.unionByName(nameless)
 
 
 def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", plan: Plan = Plan()) -> DataFrame:

@@ -25,7 +25,7 @@ HOST_RULES = (
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.classes(table(spark, sf_dir, "documents"))
-    return found.select(F.col("id").alias("doc_id"), "class_id", (F.col("id") == F.col("class_id")).alias("kept"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", F.coalesce(F.col("id") == F.col("class_id"), F.lit(True)).alias("kept"))
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ def documents(spark):
 
 def test_near_dedup_classes_are_the_components_of_exact_links(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    frequencies = near_dedup.word_frequencies(docs)
+    frequencies = near_dedup.shingle_frequencies(docs)
     sets = {d: near_dedup.weighted_shingles(lower_words([r.text])[0], frequencies, 5) for d, r in documents(spark).items()}
     head = {d: d for d in sets}
 
