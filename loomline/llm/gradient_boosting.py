@@ -6,8 +6,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -53,10 +51,14 @@ def _apply(node: Node, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def _column(node: Node, features: list[Column]) -> Column:
+def _sql(node: Node, feature: str) -> str:
     if node.feature < 0:
-        return F.lit(float(node.value))
-    return F.when(features[node.feature] <= node.threshold, _column(node.left, features)).otherwise(_column(node.right, features))
+        return f"{float(node.value)!r}D"
+    return f"CASE WHEN {feature.format(node.feature)} <= {float(node.threshold)!r}D THEN {_sql(node.left, feature)} ELSE {_sql(node.right, feature)} END"
+
+
+def _splits(node: Node) -> list[int]:
+    return [] if node.feature < 0 else [node.feature, *_splits(node.left), *_splits(node.right)]
 
 
 @dataclass(frozen=True)
@@ -68,12 +70,13 @@ class Boosted:
     def logit(self, x: np.ndarray) -> np.ndarray:
         return self.base + self.rate * sum((_apply(t, x) for t in self.trees), np.zeros(len(x)))
 
-    def column(self, features: list[Column]) -> Column:
-        """The logit as a native expression over feature columns."""
-        total = F.lit(self.base)
-        for tree in self.trees:
-            total = total + self.rate * _column(tree, features)
-        return total
+    def features_used(self) -> list[int]:
+        """The feature of every split."""
+        return [f for t in self.trees for f in _splits(t)]
+
+    def sql(self, feature: str) -> str:
+        """The logit as a native SQL expression; ``feature`` names a feature by its number, as ``f[{}]``."""
+        return " + ".join([f"{float(self.base)!r}D", *(f"{float(self.rate)!r}D * ({_sql(t, feature)})" for t in self.trees)])
 
 
 def fit(x: np.ndarray, y: np.ndarray, trees: int = 25, depth: int = 3, rate: float = 0.3, reg: float = 1.0) -> Boosted:
