@@ -4,24 +4,26 @@ A window is ``window`` consecutive words of one text.  A word is removed if a
 window that covers it has the same words as a window elsewhere.
 
 Only suffixes that start a window matter, to the depth of a window.  They are
-split into memory-sized groups whose keys are prefixes of variable length:
+split into memory-sized groups by a run of words in the window, which is
+lengthened to the whole window where a group would be too large:
 
 1. Every window holds a least run of ``gram`` words (by hash, the leftmost
    one).  Equal windows have the same run at the same place, so windows are
    grouped by it.  Neighbouring windows mostly share their run and travel
    together, once, as one stretch of words; a run that stands once in the whole
    corpus can't belong to a repeated window, and its stretch stays at home.
-2. The stretches of a group form a subtree, held as a suffix array: ranks of
+2. The stretches of a group form a subtree, held as a suffix array over their
+   words, which are numbered exactly (no hash decides equality here): ranks of
    suffixes by doubling, then the neighbours in suffix order whose common
    prefix is a window deep.  Such deep internal nodes are the repeats, and
    runs of neighbouring windows under them the maximal ones.
 3. A group of more than ``hot`` stretches is split by the longest prefix there
-   is, the whole window: its subtrees are leaves with a count, which Spark
-   pre-aggregates before the shuffle, so no task gathers the group.
+   is, the whole window (128 bits of it): its subtrees are leaves with a count,
+   which Spark pre-aggregates before the shuffle, so no task gathers the group.
 
 The texts themselves are written once under a row number and never shuffled:
 what was found about rows is written by the part of the table that holds them,
-and read there.
+in at most ``FOLDERS`` folders, and read there.
 
 Defined results: null and empty texts have no word, and nothing is removed;
 texts with fewer words than a window lose nothing; rows that repeat an id or a
@@ -32,6 +34,8 @@ row; a null id stays null.
 from __future__ import annotations
 
 import hashlib
+import itertools
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import compress
@@ -46,6 +50,8 @@ from pyspark.sql import functions as F
 from ._common import as_id, mix64, runs, shared_dir, small_batches, span_hashes, tidy, written
 
 PART_BITS = 33
+#: Folders of a side table; a folder holds every so many-th part, sorted by row.
+FOLDERS = 2048
 
 
 @dataclass(frozen=True)
@@ -54,8 +60,8 @@ class Plan:
     gram: int = 8
     #: Words of the stretches whose subtrees a task holds at a time.
     batch_words: int = 1 << 20
-    #: Stretches of a group (some 60 words each) that still fit in such a batch.
-    hot: int = 16_000
+    #: Stretches of a group (some 60 words each) that still fit in such a batch, a quarter of it.
+    hot: int = 4_000
 
 
 def byte_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -82,6 +88,16 @@ def byte_blocks(texts: list[bytes | None], size: int = 1 << 18) -> Iterator[tupl
         yield first, run
 
 
+def exact_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the words of all texts, equal for equal words only, and the
+    offset of each text's first word."""
+    known: dict[bytes, int] = defaultdict(itertools.count().__next__)
+    split = [t.split() for t in texts]
+    first = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum([len(s) for s in split], out=first[1:])
+    return np.fromiter((known[w] for s in split for w in s), np.int64, int(first[-1])), first
+
+
 def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     n = max(0, len(words) - size + 1)
     h = np.zeros(n, np.uint64)
@@ -151,8 +167,8 @@ class SideTable:
     def __init__(self, df: DataFrame, what: str, columns: list[str]) -> None:
         self.folder, self.columns = shared_dir(df.sparkSession, what), columns
         parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        df = df.withColumn("part", F.shiftright("row", PART_BITS)).repartition(parts, "part").sortWithinPartitions("part", "row")
-        df.write.partitionBy("part").parquet(self.folder)
+        df = df.withColumn("folder", F.shiftright("row", PART_BITS) % FOLDERS).repartition(parts, "folder").sortWithinPartitions("folder", "row")
+        df.write.partitionBy("folder").parquet(self.folder)
 
     def reader(self) -> Reader:
         return Reader(self.folder, self.columns)
@@ -168,11 +184,13 @@ class Reader:
     def __call__(self, row: int) -> list[np.ndarray] | None:
         if row >> PART_BITS != self.part:
             self.part = row >> PART_BITS
-            fs, path = pyarrow.fs.FileSystem.from_uri(f"{self.folder}/part={self.part}")
+            fs, path = pyarrow.fs.FileSystem.from_uri(f"{self.folder}/folder={self.part % FOLDERS}")
             self.rows, self.values = np.zeros(0, np.int64), []
             if fs.get_file_info(path).type != pyarrow.fs.FileType.NotFound:
                 files = [f.path for f in fs.get_file_info(pyarrow.fs.FileSelector(path)) if f.path.endswith(".parquet")]
-                table = pyarrow.dataset.dataset(files, filesystem=fs, format="parquet").to_table(columns=["row", *self.columns])
+                row_of = pyarrow.dataset.field("row")
+                mine = (row_of >= self.part << PART_BITS) & (row_of < self.part + 1 << PART_BITS)
+                table = pyarrow.dataset.dataset(files, filesystem=fs, format="parquet").to_table(columns=["row", *self.columns], filter=mine)
                 rows = table["row"].to_numpy()
                 order = np.argsort(rows, kind="stable")
                 self.rows, self.values = rows[order], [table[c].to_numpy()[order] for c in self.columns]
@@ -227,7 +245,7 @@ def _subtrees(table: DataFrame, side: SideTable, plan: Plan) -> DataFrame:
     parts = max(1, int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        words, first = byte_words([r[4] for r in rows])
+        words, first = exact_words([r[4] for r in rows])
         n = np.array([r[3] for r in rows], np.int64)
         owner = np.repeat(np.arange(len(rows)), n)
         inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
