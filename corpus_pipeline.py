@@ -1,8 +1,14 @@
 """A corpus pipeline over ``documents``: five stages, each one operator.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage
-before kept.  All but the last return the columns of ``documents``.  Rows with
-a null id pass the stages unchanged where a stage needs an id to decide.
+before kept.  All but the last return the columns of ``documents``, whatever
+further columns it has.
+
+Defined results: a null or empty text, or one without a letter, has no known
+language and goes in the first stage; a row with a null id has no duplicates
+but is decided by its text in all other stages; rows that repeat an id and a
+text are one document; very long texts are handled whole; an empty table gives
+no row; ``n_chars`` follows the redacted text where the table has it.
 """
 
 from __future__ import annotations
@@ -32,7 +38,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced; n_chars follows the text."""
-    return pii.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    out = pii.redact(docs)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

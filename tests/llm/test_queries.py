@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from conftest import SF, same
+from pyspark.sql import functions as F
 
 from loomline.llm import near_dedup, packing
 from loomline.llm._common import lower_words
@@ -162,3 +163,72 @@ def test_pipeline_stages(spark):
     assert not any(re.search(r"[a-z]@[a-z0-9]+\.[a-z]", r.text) for r in seen["pii"])
     assert all(r.n_chars == len(r.text) for r in seen["pii"])
     assert {r.doc_id for r in seen["packing"]} == {r.doc_id for r in seen["pii"]}
+
+
+def test_pipeline_equals_plain_models(spark):
+    """The documents that come through are those that plain models of each stage keep."""
+    import corpus_pipeline
+    from loomline.llm import decontamination, language_id, pii
+
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = {d: r.text for d, r in documents(spark).items()}
+    model = language_id.train(table.filter(~language_id.held_out()))
+    names, scores = model.predict(list(docs.values()))
+    docs = {d: t for (d, t), n, s in zip(docs.items(), names, scores, strict=True) if n != "und" and s >= 0.5}
+    frequencies = near_dedup.shingle_frequencies(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))
+    sets = {d: near_dedup.weighted_shingles(lower_words([t])[0], frequencies, 5) for d, t in docs.items()}
+    head = {d: d for d in docs}
+
+    def top(x):
+        while head[x] != x:
+            x = head[x]
+        return x
+
+    for a in sorted(docs):
+        for b in sorted(docs):
+            if b < a and near_dedup.weighted_jaccard(sets[a], sets[b]) >= 0.8:
+                x, y = sorted((top(a), top(b)))
+                head[y] = x
+    docs = {d: t for d, t in docs.items() if top(d) == d}
+    plan, items = decontamination.Plan(), [decontamination.normalised(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    holds = lambda t: any(decontamination.edit_distance_within(x, t)[0] <= decontamination.allowed(len(x), plan) for x in items)
+    docs = {d: t for d, t in docs.items() if not holds(decontamination.normalised(t))}
+    spans = {r.doc_id: r.spans for r in pii.detect(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
+    for d, t in docs.items():
+        out, at = "", 0
+        for s in spans[d]:
+            if s.start >= at:
+                out += t[at : s.start] + f"[{s.kind.upper()}]"
+            at = max(at, s.stop)
+        docs[d] = out + t[at:]
+    got = defaultdict(int)
+    for r in corpus_pipeline.run(spark, SF).collect():
+        got[r.doc_id] += r.length
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    assert dict(got) == {d: len(t.encode(x, add_special_tokens=False).ids) + 1 for d, x in docs.items()}
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Nulls, repeats, long and empty texts and clashing columns pass every stage; an empty table gives no row."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").orderBy("doc_id").limit(60).collect()
+    long = " ".join(r.text for r in docs[:40]) * 3
+    odd = [(1000, None, "en"), (1001, "", "en"), (None, docs[3].text, "en"), (1003, "?! 12", None), (1004, long, None), (docs[5].doc_id, docs[5].text, docs[5].lang)]
+    rows = [(r.doc_id, r.text, r.lang, "x", "y", 5) for r in docs] + [(*r, "x", "y", 5) for r in odd]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, spans string, node string, is_clean int")
+    for folder, table in (("some", df), ("none", df.limit(0))):
+        table.write.parquet(f"{tmp_path}/{folder}/documents.parquet")
+        spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/{folder}/benchmark.parquet")
+    at = spark.read.parquet(f"{tmp_path}/some/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        at = stage(spark, at, f"{tmp_path}/some")
+        assert at.columns == df.columns, name
+        at.write.parquet(f"{tmp_path}/{name}")
+        at = spark.read.parquet(f"{tmp_path}/{name}")
+    ids = [r.doc_id for r in at.collect()]
+    assert 1000 not in ids and 1001 not in ids and 1003 not in ids and None in ids and ids.count(docs[5].doc_id) <= 1
+    assert corpus_pipeline.run(spark, f"{tmp_path}/some").count() > 0 and corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
