@@ -19,8 +19,8 @@ pairs are made.  First each member is compared with one pivot, the member that
 shares most buckets with others: of many edits of a text that is the text
 itself or the least edited one.  Links are joined into components, and a bucket
 whose members lie in one class is done.  In the others, members of different
-classes are paired if they share one of 40 bands of 320 further samples and
-these say that they may be links, and the pairs are verified like the first.  So links that would join two classes are
+classes are paired if 320 further samples say that they may be links, and these
+pairs are verified like the first.  So links that would join two classes are
 found too, and a group of many copies makes few pairs.
 
 Defined results: null and empty texts are alone in their class; texts without
@@ -56,7 +56,7 @@ class Plan:
     seed: int = 11
     #: Further samples of texts in undecided buckets, and the least share of
     #: equal ones that a pair must show there: five standard deviations below the
-    #: threshold.  Bands of eight of them find a pair at it with 0.9994.
+    #: threshold, so that practically no link is lost here.
     fine: int = 320
     fine_least: float = 0.68
 
@@ -303,14 +303,14 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", plan: Plan
     if not apart.isEmpty():
         some = apart.select("node").distinct()
         sketches = written(fine_sketches(texts.join(some, "node", "left_semi"), shared, plan), "fine-sketches")
-        # bands of eight samples: half of each long
-        halves = F.array(*(F.struct(F.lit(j).alias("j"), F.shiftrightunsigned(F.col("sketch")[j // 2], 32 * (j % 2)).bitwiseAND(0xFFFFFFFF).alias("part")) for j in range(plan.fine // 8)))
-        rows = written(apart.join(sketches, "node").select("band", "node", "weight", "component", "sketch", F.inline(halves)), "fine-bands")
-        other = rows.select("band", "j", "part", *(F.col(c).alias(f"o_{c}") for c in ("node", "weight", "component", "sketch")))
+        rows = written(apart.join(sketches, "node").join(nodes.select("node", "bands"), "node"), "sketched-members")
+        other = rows.select(F.col("band").alias("o_band"), *(F.col(c).alias(f"o_{c}") for c in ("node", "weight", "component", "sketch", "bands")))
         most = int(plan.fine * (1 - plan.fine_least) * 15 / 16)
         close = F.expr(f"{_differing('sketch', 'o_sketch', plan.fine // 16)} <= {most}")
         across = (F.col("node") < F.col("o_node")) & (F.col("component") != F.col("o_component")) & like(F.col("weight"), F.col("o_weight")) & close
-        more = rows.join(other, ["band", "j", "part"]).filter(across).select(F.col("node").alias("a"), F.col("o_node").alias("pivot")).distinct()
+        # a pair is made in the first band it shares; in a bucket of two it was compared already
+        across = across & (F.array_min(F.array_intersect("bands", "o_bands")) == F.col("band"))
+        more = rows.join(other, (F.col("band") == F.col("o_band")) & across).select(F.col("node").alias("a"), F.col("o_node").alias("pivot")).distinct()
         more = written(_verified(more, texts, shared, plan), "near-links")
         if not more.isEmpty():
             joined = components(links.unionByName(more))
