@@ -9,11 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.storage import cut
 from ..functions.text import bound, grams, plain_ascii
 
 N, THRESHOLD = 8, 0.6
-#: Runs of benchmarks up to which they are broadcast; more are joined by a shuffle.
-BROADCAST_GRAMS = 5_000_000
+#: Bytes of benchmarks' runs up to which they are broadcast; more are joined by a shuffle.
+BROADCAST_BYTES = 64 << 20
 
 
 def gram_set(body: Column, n: int = N) -> Column:
@@ -28,9 +29,7 @@ def eval_index(items: DataFrame, question: str = "text", n: int = N) -> DataFram
 
 def overlap(records: DataFrame, key: str, body: Column, index: DataFrame, n: int = N) -> DataFrame:
     """(key, n_grams, n_hit, overlap) of every record, by ``key``; one without runs has overlap 0."""
-    marked = index.withColumn("hit", F.lit(1))
-    if index.count() <= BROADCAST_GRAMS:
-        marked = F.broadcast(marked)
+    marked = _small(index.withColumn("hit", F.lit(1)))
     runs = records.select(key, F.explode_outer(gram_set(body, n)).alias("gram"))
     out = runs.join(marked, "gram", "left").groupBy(key).agg(F.count("gram").alias("n_grams"), F.count("hit").alias("n_hit"))
     return out.withColumn("overlap", F.when(F.col("n_grams") > 0, F.col("n_hit") / F.col("n_grams")).otherwise(0.0))
@@ -54,24 +53,39 @@ def holding(records: DataFrame, body: Column, items: DataFrame, question: str =
 
     All tokens of a question but the first and last stand whole in a text that
     holds it.  A run of these finds the candidates, by an equi-join, and the
-    substring is looked for in those only.  Questions of one or two tokens have
-    no such run; they are few, and tried on every record.
+    substring is looked for in those only.  Questions of one or two tokens are
+    looked up by their first three characters among all runs of three of the
+    text.  Of shorter ones there are few, whatever the benchmarks (37 characters
+    make 1406 strings), so they are conditions of the plan.
     """
     asked = items.select(plain_ascii(F.col(question)).alias("question")).filter("question <> ''").distinct()
-    asked = asked.withColumn("_t", F.split("question", " ")).withColumn("_m", F.least(F.size("_t") - 2, F.lit(n)))
+    asked = cut(asked.withColumn("_t", F.split("question", " ")).withColumn("_m", F.least(F.size("_t") - 2, F.lit(n))))
     plain = records.withColumn("_plain", plain_ascii(body))
-    sizes = sorted(r["_m"] for r in asked.select("_m").distinct().collect())
-    short = [r["question"] for r in asked.filter("_m <= 0").select("question").collect()]
-    runs = [_runs(k) for k in sizes if k > 0]
-    out = plain.filter(F.lit(False)) if not short else plain.filter(_any(F.contains("_plain", F.lit(q)) for q in short))
-    if runs:
-        keyed = asked.filter("_m > 0").select("question", F.expr("array_join(slice(_t, 2, _m), ' ')").alias("_run"))
-        keyed = F.broadcast(keyed) if keyed.count() <= BROADCAST_GRAMS else keyed
-        found = plain.withColumn("_run", F.explode(F.array_distinct(F.concat(*runs)))).join(keyed, "_run").filter(F.contains("_plain", "question"))
-        out = out.unionByName(found.drop("_run", "question"))
+    tiny = [r["question"] for r in asked.filter(F.length("question") < 3).select("question").collect()]
+    out = plain.filter(_any(F.contains("_plain", F.lit(q)) for q in tiny))
+    sizes = sorted(r["_m"] for r in asked.filter("_m > 0").select("_m").distinct().collect())  # n at most
+    short = asked.filter((F.col("_m") <= 0) & (F.length("question") >= 3)).select("question", F.substring("question", 1, 3).alias("_run"))
+    keyed = asked.filter("_m > 0").select("question", F.expr("array_join(slice(_t, 2, _m), ' ')").alias("_run"))
+    runs = [_runs(k) for k in sizes]
+    for index, found in ((keyed, F.concat(*runs) if runs else None), (short, None if short.isEmpty() else _triples())):
+        if found is not None:
+            hit = plain.withColumn("_run", F.explode(F.array_distinct(found))).join(_small(index), "_run").filter(F.contains("_plain", "question"))
+            out = out.unionByName(hit.drop("_run", "question"))
     return out.drop("_plain").distinct()
 
 
+def _triples() -> Column:
+    """All runs of three characters of the normalised text."""
+    none = F.array().cast("array<string>")
+    return F.when(F.length("_plain") >= 3, F.transform(F.sequence(F.lit(1), F.length("_plain") - 2), lambda i: F.substring(F.col("_plain"), i, F.lit(3)))).otherwise(none)
+
+
+def _small(index: DataFrame) -> DataFrame:
+    """``index``, broadcast if its strings take ``BROADCAST_BYTES`` at most."""
+    size = index.agg(F.sum(sum((F.octet_length(c) for c, t in index.dtypes if t == "string"), F.lit(16)))).first()[0] or 0
+    return F.broadcast(index) if size <= BROADCAST_BYTES else index
+
+
 def _runs(k: int) -> Column:
     """All runs of ``k`` tokens of the normalised text."""
     none = F.array().cast("array<string>")

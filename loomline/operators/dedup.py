@@ -136,5 +136,10 @@ def near_duplicates(df: DataFrame, body: Column, order: list) -> DataFrame:
     return out.withColumn("dropped", F.when(F.col("_near"), "near").when(~mine, "exact")).drop("_key", "_near", "node")
 
 
+def survivors(df: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of ``df`` whose keys were kept, as a new table."""
+    return df.join(kept.select(*keys).distinct(), keys, "left_semi")
+
+
 def _names(order: list) -> list[str]:
     return [c if isinstance(c, str) else c._jc.toString() for c in order]

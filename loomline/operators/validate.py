@@ -57,14 +57,18 @@ def manifest(df: DataFrame, by: list[str]) -> str:
 
 
 def card(title: str, seed: int, sources: list[dict], benchmarks: dict, eval_grams: int, stages: list[dict], objects: list[dict]) -> str:
-    """The dataset card in Markdown."""
+    """The dataset card in Markdown: a table for each manifest."""
     flags = [s["name"] for s in sources if any(f in str(s.get("license", "")).lower() for f in CARD_FLAGS)]
-    out = [f"# {title}", "", f"Seed {seed}.", "", "## Sources", ""]
-    out += [f"- `{s['id']}`, licence {s.get('license')}, {s.get('status', 'ok')}, {s.get('retained', '?')} rows" for s in sources]
-    out += ["", "## Licences to check", "", ", ".join(flags) or "none", "", "## Decontamination", "", f"Benchmarks: {json.dumps(benchmarks)}; {eval_grams} word runs.", "", "## Stages", ""]
-    out += [f"- {s['stage']}: {s['n_rows']} rows ({s['unique_rows']} records), {s['tokens']} tokens" for s in stages]
-    out += ["", "## Objects", ""] + [f"- {o['stage']}: {o['train_key']} ({o['n_train']} rows), {o['test_key']} ({o['n_test']} rows)" for o in objects]
-    return "\n".join(out) + "\n"
+    facts = [{"fact": "seed", "value": seed}, {"fact": "word runs of benchmarks", "value": eval_grams}, {"fact": "licences to check", "value": ", ".join(sorted(set(flags))) or "none"}]
+    tested = [{"benchmark": name, "questions": n} for name, n in benchmarks.items()]
+    parts = {"Facts": facts, "Mixture": stages, "Files": objects, "Origin of the records": sources, "Benchmarks kept out": tested}
+    return "\n\n".join([f"# {title}", *(f"## {name}\n\n{_table(rows)}" for name, rows in parts.items() if rows)]) + "\n"
+
+
+def _table(rows: list[dict]) -> str:
+    names = list(dict.fromkeys(k for r in rows for k in r))
+    line = lambda cells: "| " + " | ".join(str(c) for c in cells) + " |"
+    return "\n".join([line(names), line("-" for _ in names), *(line(r.get(n, "") for n in names) for r in rows)])
 
 
 def round_trip(encode, decode, samples: list[str], tags: tuple[str, ...] = (), most: int = 3) -> dict[str, bool]:

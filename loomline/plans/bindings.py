@@ -16,6 +16,7 @@ from ..functions.storage import cut, spread
 from ..functions.text import text, think_parts, words
 from ..operators import mix, normalize
 from ..operators.render import record_text
+from ..operators.tokens import token_count
 
 ROTATION = ("math", "code", "science", "chat", "if")
 LICENSES = ("CC-BY-4.0", "cc-by-nc-4.0", "check-card", "MIT")
@@ -56,13 +57,16 @@ def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def items(records: DataFrame) -> DataFrame:
-    """The narrow index of the mix: bodies stay behind and are joined back later."""
+def items(records: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
+    """The narrow index of the mix: bodies stay behind and are joined back later.
+    Tokens are those of the tokenizer file, or words where none is given."""
+    tokens = F.size(words(record_text(F.col("messages")))).cast("long") if tokenizer_path is None else token_count(record_text(F.col("messages")), tokenizer_path)
     rlen = F.aggregate("messages", F.lit(0).cast("long"), lambda a, m: a + F.length(text(m["reasoning"])))
-    return records.select("name", "idx", "domain", "source", "source_rank", F.size(words(record_text(F.col("messages")))).cast("long").alias("tokens"), rlen.alias("rlen"), F.col("meta.pass_rate").alias("difficulty"))
+    return records.select("name", "idx", "domain", "source", "source_rank", tokens.alias("tokens"), rlen.alias("rlen"), F.col("meta.pass_rate").alias("difficulty"))
 
 
 SEED = 42
+# The default ratios of the recipes.
 STAGE1 = {"math": 0.30, "code": 0.26, "science": 0.12, "chat": 0.22, "if": 0.10}
 STAGE2 = {"code": 0.34, "math": 0.22, "chat": 0.18, "if": 0.14, "tool": 0.12}
 BUDGET = {"stage1": 150_000.0, "stage2": 60_000.0, "stage3": 40_000.0}

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import WHITE, count_of, plain_ascii, prose_parts, strip, text, think_parts, unit_hash, words
-from ..functions.storage import cut
+from ..functions.storage import cut, shared_dir
 from ..operators import decontam, dedup, mix, normalize, quality, reasoning, render, split, validate
 from ..sources import io
-from ..sources.catalog import SOURCES, as_table
+from ..sources.catalog import BENCHMARKS, SOURCES, Source, as_table
 from .bindings import BUDGET, EXCLUSIVE, HARDEST, LICENSES, LONGEST, REPLAY, ROTATION, SEED, STAGE1, STAGE2, all_stages, conversation_records, document_records, items, lines, stage1, stage2, stage3, table
 
 QUERIES: dict = {}
@@ -168,8 +168,6 @@ def native_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE {s_strip('usr')} <> '' AND {s_strip("coalesce(nullif(attempt, ''), usr)")} <> ''"""
 )
 def s1k_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..sources.catalog import Source
-
     at = lines(table(spark, sf_dir, "documents")).selectExpr("doc_id AS idx", "usr AS question", "split(rest, '\n') AS thinking_trajectories", "CASE WHEN doc_id % 2 = 0 THEN '' ELSE rest END AS attempt", "usr AS solution")
     source = Source("traces", "s1k", "reasoning", columns={"question": "question", "reasoning": "thinking_trajectories", "attempt": "attempt", "solution": "solution"})
     return _two(normalize.records(at, source))
@@ -181,15 +179,101 @@ def s1k_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE {s_strip('usr')} <> '' AND {s_strip("coalesce(nullif(short, ''), nullif(rest, ''), '')")} <> ''"""
 )
 def limo_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..sources.catalog import Source
-
     at = lines(table(spark, sf_dir, "documents")).selectExpr("doc_id AS idx", "usr AS question", "rest AS solution", "CASE WHEN doc_id % 2 = 0 THEN '' ELSE usr END AS answer")
     return _two(normalize.records(at, Source("worked", "limo", "math", columns={"question": "question", "solution": "solution", "answer": "answer"})))
 
 
-def _two(records: DataFrame) -> DataFrame:
+_OUT, _EXPECT, _RATE = "CASE WHEN doc_id % 3 = 0 THEN '<think>' || usr || '</think>' || rest ELSE rest END", "CASE WHEN doc_id % 5 = 1 THEN '42' END", "CASE doc_id % 4 WHEN 0 THEN '0.5' WHEN 1 THEN 'bad' END"
+_IR, _IA = s_think("o")
+
+
+@query(
+    rf"""WITH {LINES}, x AS (SELECT doc_id, usr, {_OUT} AS o, {_EXPECT} AS e, {_RATE} AS rate FROM l), y AS (SELECT *, {s_strip('o')} AS p, {_IR} AS tr, {_IA} AS ta FROM x),
+    z AS (SELECT *, {s_parts('p')} AS parts FROM y), w AS (SELECT *, CASE WHEN tr IS NOT NULL THEN tr WHEN p = '' THEN NULL WHEN e IS NOT NULL THEN p WHEN len(parts) > 1 THEN array_to_string(parts[1:-2], chr(10) || chr(10)) END AS reasoning,
+    CASE WHEN tr IS NOT NULL THEN ta WHEN p = '' THEN '' WHEN e IS NOT NULL THEN 'The final answer is $\boxed{{' || e || '}}$.' WHEN len(parts) > 1 THEN parts[-1] ELSE p END AS answer FROM z)
+    SELECT sha256('prose' || chr(0) || CAST(doc_id AS VARCHAR) || chr(0) || usr) AS id, usr AS user_text, answer, reasoning, e AS expected, TRY_CAST(rate AS DOUBLE) AS pass_rate FROM w WHERE {s_strip('usr')} <> '' AND {s_strip('answer')} <> ''"""
+)
+def instruct_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The adapter of single turns, with plain-prose working."""
+    at = lines(table(spark, sf_dir, "documents")).selectExpr("doc_id AS idx", "usr AS problem", f"{_OUT} AS solution", f"{_EXPECT} AS answer", f"{_RATE} AS rate")
+    source = Source("prose", "instruct", "math", prose=True, columns={"instruction": "problem", "output": "solution", "answer": "answer", "pass_rate": "rate"})
+    r = normalize.records(at, source)
+    return _two(r, F.col("meta.expected_answer").alias("expected"), F.col("meta.pass_rate").alias("pass_rate"))
+
+
+_GENS = "CASE WHEN doc_id % 2 = 0 THEN '<think>w</think>' || body ELSE body END"
+_PR, _PA = s_think("picked")
+
+
+@query(
+    f"""WITH {LINES}, g AS (SELECT doc_id, usr, body, string_split({_GENS}, chr(10))[1:3] AS gens, [doc_id % 4 = 1, doc_id % 3 = 0] AS ok FROM l),
+    k AS (SELECT doc_id, usr, coalesce(nullif(CASE WHEN ok[1] AND len(gens) >= 1 THEN gens[1] WHEN ok[2] AND len(gens) >= 2 THEN gens[2] END, ''), nullif(gens[1], ''), body) AS picked FROM g),
+    a AS (SELECT doc_id, usr, {_PR} AS reasoning, coalesce(nullif({_PA}, ''), 'A' || doc_id) AS answer FROM k)
+    SELECT sha256('many' || chr(0) || CAST(doc_id AS VARCHAR) || chr(0) || usr) AS id, usr AS user_text, answer, reasoning FROM a WHERE {s_strip('usr')} <> '' AND {s_strip('answer')} <> ''"""
+)
+def openr1_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The adapter of verified generations."""
+    at = lines(table(spark, sf_dir, "documents")).withColumn("all", F.split(F.expr(_GENS), "\n"))
+    at = at.select(F.col("doc_id").alias("idx"), F.col("usr").alias("problem"), F.slice("all", F.lit(1), F.lit(3)).alias("generations"), F.array(F.col("doc_id") % 4 == 1, F.col("doc_id") % 3 == 0).alias("correctness_math_verify"), F.col("body").alias("solution"), F.expr("'A' || doc_id").alias("answer"))
+    return _two(normalize.records(at, Source("many", "openr1", "math", columns={"problem": "problem"})))
+
+
+_SHARED = f"CASE lower({_RAW_ROLE}) WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' WHEN 'observation' THEN 'user' WHEN 'system' THEN 'system' WHEN 'user' THEN 'user' WHEN 'assistant' THEN 'assistant' END"
+
+
+@query(
+    f"""WITH t AS (SELECT conv_id, turn, {_SHARED} AS role, text FROM conversations WHERE {_SHARED} IS NOT NULL AND {s_strip("coalesce(text, '')")} <> ''),
+    c AS (SELECT conv_id, list(struct_pack(role := role, content := text) ORDER BY turn) AS m FROM t GROUP BY conv_id), c2 AS (SELECT *, list_filter(m, lambda x: x.role = 'user')[1].content AS usr FROM c)
+    SELECT sha256('shares' || chr(0) || CAST(conv_id AS VARCHAR) || chr(0) || usr) AS id, CASE conv_id % 3 WHEN 0 THEN 'code' ELSE 'tool' END AS domain, array_to_string(list_transform(m, lambda x: x.role), '|') AS roles,
+    md5(array_to_string(list_transform(list_filter(m, lambda x: x.role = 'user'), lambda x: x.content), ' ')) AS users_md5 FROM c2 WHERE usr IS NOT NULL AND len(list_filter(m, lambda x: x.role = 'assistant')) > 0"""
+)
+def sharegpt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The adapter of from/value turns, with a domain per row where it is known; and the users' text."""
+    turns = table(spark, sf_dir, "conversations").withColumn("who", F.expr(_RAW_ROLE)).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.col("who").alias("from"), F.col("text").alias("value")))).alias("turns"))
+    at = turns.selectExpr("conv_id AS idx", "turns", "CASE conv_id % 3 WHEN 0 THEN 'CODE' WHEN 1 THEN 'poetry' END AS topic")
+    r = normalize.records(at, Source("shares", "sharegpt", "tool", columns={"conversations": "turns", "domain_field": "topic"}))
+    return r.select("id", "domain", _flat(F.col("messages"), "role").alias("roles"), F.md5(render.user_text(F.col("messages"))).alias("users_md5"))
+
+
+_PAIRS = """'[{"role":"user","content":"q' || turn || '"},{"role":"assistant"' || CASE conv_id % 3 WHEN 0 THEN ',"content":"a"' ELSE '' END || '},{"role":"user","content":' || CASE turn % 2 WHEN 0 THEN 'null' ELSE '"r"' END || '}]'"""
+
+
+@query("SELECT conv_id, turn, CAST(CASE WHEN n > 1 THEN n ELSE 0 END AS INTEGER) AS n_turns FROM (SELECT conv_id, turn, 1 + CASE conv_id % 3 WHEN 0 THEN 1 ELSE 0 END + CASE turn % 2 WHEN 0 THEN 0 ELSE 1 END AS n FROM conversations)")
+def chat_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of a JSON list that have both fields."""
+    at = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.expr(_PAIRS).alias("j"))
+    return at.select("conv_id", "turn", F.size(normalize.clean_pairs(F.col("j"), "role", "content")).alias("n_turns"))
+
+
+@query("SELECT doc_id, source, CAST(length(text) AS INTEGER) AS chars FROM documents")
+def mirror_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source's mirrored JSON lines, written in hash order and read in splits."""
+    root = shared_dir(spark, "mirror")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    io.write_json_lines(docs, f"{io.mirror_path(root, 'docs')}/data.jsonl", [F.sha2(F.col("doc_id").cast("string"), 256)])
+    return io.read_mirror(spark, root, "docs", docs.schema).select("doc_id", "source", F.length("text").alias("chars"))
+
+
+@query("SELECT 'gsm8k' AS bench, text AS question FROM benchmark WHERE text <> ''")
+def benchmark_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions of the benchmarks that are there; one that is missing does not stop the others."""
+    root = shared_dir(spark, "benchmarks")
+    table(spark, sf_dir, "benchmark").select(F.col("text").alias("question")).write.parquet(io.mirror_path(root, "gsm8k"))
+    return io.read_benchmarks(spark, root, ["gsm8k", "aime", "unknown"], BENCHMARKS)[0]
+
+
+@query("SELECT 'documents' AS name, 'ok' AS status, count(*) AS retained, 'doc_id,text' AS columns FROM documents UNION ALL SELECT 'missing', 'unavailable', 0, ''")
+def acquire_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of acquired sources, one of which can't be read."""
+    reads = {"documents": lambda: table(spark, sf_dir, "documents").select("doc_id", "text"), "missing": lambda: spark.read.parquet(f"{sf_dir}/none.parquet")}
+    root = shared_dir(spark, "raw")
+    rows = [(name, e["status"], e["retained"], ",".join(e["columns"])) for name, read in reads.items() for e in [io.acquire(read, f"{root}/{name}", wait=0)[1]]]
+    return spark.createDataFrame(rows, "name string, status string, retained long, columns string")
+
+
+def _two(records: DataFrame, *more) -> DataFrame:
     m = F.col("messages")
-    return records.select("id", m[0]["content"].alias("user_text"), m[1]["content"].alias("answer"), m[1]["reasoning"].alias("reasoning"))
+    return records.select("id", m[0]["content"].alias("user_text"), m[1]["content"].alias("answer"), m[1]["reasoning"].alias("reasoning"), *more)
 
 
 @query("SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents) WHERE n <= 10")
@@ -201,7 +285,7 @@ def row_cap_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 # quality ---------------------------------------------------------------------
 
 _LONGEST = 3_000
-_OK = f"length(usr) <= {_LONGEST} AND length(answer) + coalesce(length(reasoning), 0) <= {_LONGEST} AND NOT (domain = 'code' AND (length(answer) - length(replace(answer, '```', ''))) / 3 % 2 <> 0)"
+_OK = f"length(usr) <= {_LONGEST} AND length(answer) + coalesce(length(reasoning), 0) <= {_LONGEST} AND length(usr) - length(replace(usr, '�', '')) <= 3 AND length(answer || coalesce(reasoning, '')) - length(replace(answer || coalesce(reasoning, ''), '�', '')) <= 3 AND NOT (domain = 'code' AND (length(answer) - length(replace(answer, '```', ''))) / 3 % 2 <> 0)"
 
 
 @query(f"WITH {DOC} SELECT id FROM doc WHERE {_OK}")
@@ -257,6 +341,13 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.first_of_each(at, ["_key"], _BY).select("doc_id")
 
 
+@query(f"WITH o AS ({_ORDERED}), k AS (SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY md5(low) ORDER BY {_ORDER}) AS n FROM o) WHERE n = 1) SELECT doc_id, source, CAST(length(text) AS INTEGER) AS chars FROM documents SEMI JOIN k USING (doc_id)")
+def dedup_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records that deduplication keeps, whole."""
+    kept = dedup.survivors(table(spark, sf_dir, "documents"), exact_dedup(spark, sf_dir), ["doc_id"])
+    return kept.select("doc_id", "source", F.length("text").alias("chars"))
+
+
 @query(f"WITH {_SETS} SELECT doc_id, count(*) AS n_shingles, min(g) AS least FROM s GROUP BY doc_id")
 def shingle_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = _distinct_bodies(spark, sf_dir).select("doc_id", F.explode(dedup.shingle_set(F.col("body"))).alias("g"))
@@ -385,6 +476,14 @@ def reasoning_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reasoning.rates(document_records(spark, sf_dir))
 
 
+@query(f"WITH {DOC}, g AS (SELECT name, source_rank, count(*) AS total, count(*) FILTER (WHERE reasoning_present) / count(*) AS rate FROM doc GROUP BY name, source_rank) SELECT name, rate, round(rate, 3) >= 0.3 AS passed FROM g WHERE source_rank % 4 = 0")
+def reasoning_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fourth source has to carry reasoning in three records of ten."""
+    records = document_records(spark, sf_dir)
+    catalog = records.select("name", (F.col("source_rank") % 4 == 0).alias("must_reason")).distinct()
+    return reasoning.rate_gate(records, catalog, 0.3).select("name", "rate", "passed")
+
+
 @query("SELECT doc_id, CASE WHEN length(text) > 600 THEN regexp_replace(substr(text, 1, 600), '(?s) [^ ]*$', '') ELSE text END AS clipped FROM documents")
 def trace_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", reasoning.clip(F.col("text"), 600).alias("clipped"))
@@ -521,7 +620,7 @@ def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sides(spark, sf_dir).groupBy("side", "k").agg(F.count("*").alias("copies"))
 
 
-@query("SELECT CAST(0 AS BIGINT) AS n_leaks")
+@query(f"WITH {_SIDES}, tr AS (SELECT DISTINCT k FROM ro EXCEPT SELECT k FROM te) SELECT count(*) AS n_leaks FROM tr SEMI JOIN te USING (k)")
 def split_leak_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.leaks(_sides(spark, sf_dir), "k").agg(F.count("*").alias("n_leaks"))
 
@@ -535,6 +634,19 @@ def chunk_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.chunked(rows, ["stage"], "_key", _CHUNK_ROWS).select("name", "idx", "pass", "chunk")
 
 
+@query(
+    f"""WITH {_S1}, ch AS (SELECT name || ':' || idx AS k, (row_number() OVER (ORDER BY {s_key('chunk', 'name', 'idx', 'pass')}) - 1) // {_CHUNK_ROWS} AS chunk FROM s1),
+    u AS (SELECT chunk, k, row_number() OVER (PARTITION BY chunk ORDER BY sha256('42:' || k)) AS rn, count(*) OVER (PARTITION BY chunk) AS u FROM (SELECT DISTINCT chunk, k FROM ch)),
+    te AS (SELECT chunk, k FROM u WHERE rn <= greatest(1, CAST(floor(u * 0.05) AS BIGINT)))
+    SELECT chunk, 'test' AS side, k, CAST(1 AS BIGINT) AS copies FROM te UNION ALL SELECT chunk, 'train', k, count(*) FROM ch ANTI JOIN te USING (chunk, k) GROUP BY chunk, k"""
+)
+def chunk_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each chunk with its own split, as the packaging writes them."""
+    rows = stage1(_items(spark, sf_dir)).withColumn("stage", F.lit("stage1")).withColumn("_key", mix.order_key(SEED, "chunk", "name", "idx", "pass"))
+    rows = mix.chunked(rows, ["stage"], "_key", _CHUNK_ROWS).withColumn("k", F.concat_ws(":", "name", F.col("idx").cast("string")))
+    return split.train_test(rows, "k", ["stage", "chunk"], seed=SEED).groupBy("chunk", "side", "k").agg(F.count("*").alias("copies"))
+
+
 def s_flag(flags: tuple[str, ...]) -> str:
     return "(" + " OR ".join(f"contains(lower(license), '{x}')" for x in flags) + ")"
 

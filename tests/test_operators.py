@@ -1,5 +1,6 @@
 """Operators against small serial models and edge cases."""
 
+import json
 import random
 
 import pytest
@@ -161,7 +162,7 @@ def test_gates_and_card():
     g.add("objects", False, critical=True)
     assert not g.passed
     text = validate.card("t", 1, [{"id": "x/y", "name": "x__y", "license": "check-card"}], {"b": 3}, 9, [{"stage": "s", "n_rows": 2, "unique_rows": 1, "tokens": 5}], [])
-    assert "x__y" in text and "2 rows (1 records)" in text
+    assert "| licences to check | x__y |" in text and "| s | 2 | 1 | 5 |" in text
 
 
 def test_json_lines_number_physical_lines(spark, tmp_path):
@@ -169,10 +170,64 @@ def test_json_lines_number_physical_lines(spark, tmp_path):
     got = io.read_json_lines(spark, f"file://{tmp_path}/a.jsonl", "x int").collect()
     assert sorted((r.idx, r.x) for r in got) == [(0, 1), (2, 3)]
     n = io.write_json_array(spark.createDataFrame([(1, None), (2, "é")], "a int, b string").coalesce(1), f"file://{tmp_path}/out.json")
-    assert n == 2 and (tmp_path / "out.json").read_text() == '[{"a":1,"b":null}, {"a":2,"b":"é"}]'
+    assert n == 2 and json.loads((tmp_path / "out.json").read_text()) == [{"a": 1, "b": None}, {"a": 2, "b": "é"}]
+    assert io.write_json_array(spark.range(0), f"file://{tmp_path}/none.json") == 0 and json.loads((tmp_path / "none.json").read_text()) == []
     assert io.signed_seconds(10**9) == io.MAX_SIGNED and io.row_cap(5, {"LOOMLINE_SMOKE_ROWS": "3"}) == 3 and io.row_cap(0, {}) is None
-    df, state = io.acquire(lambda: 1 / 0, wait=0)
-    assert df is None and "ZeroDivisionError" in state["error"]
+    bad = spark.range(3).select(F.expr("raise_error('late')").alias("x"))
+    for read, name in ((lambda: 1 / 0, "ZeroDivisionError"), (lambda: bad, "late")):
+        df, state = io.acquire(read, f"file://{tmp_path}/raw", wait=0)
+        assert df is None and state["status"] == "unavailable" and name in state["error"]
+    df, state = io.acquire(lambda: spark.range(5), f"file://{tmp_path}/raw")
+    assert df.count() == state["retained"] == 5 and state["columns"] == ["id"]
+
+
+def test_json_lines_of_many_splits(spark, tmp_path):
+    """Line numbers hold across the splits of a file."""
+    (tmp_path / "b.jsonl").write_text("".join("\n" if i % 7 == 3 else f'{{"x": {i}}}\n' for i in range(4000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = io.read_json_lines(spark, f"file://{tmp_path}/b.jsonl", "x int").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted((r.idx, r.x) for r in got) == [(i, i) for i in range(4000) if i % 7 != 3]
+
+
+def test_first_rows_by_ranges_and_store(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(f"g{i % 3}", i) for i in range(300)], "g string, i int")
+    small = {(r.g, r.i) for r in io.first_rows(df, 20, "g", "i").collect()}
+    monkeypatch.setattr(io, "PRUNED_ROWS", 1)
+    assert {(r.g, r.i) for r in io.first_rows(df, 20, "g", "i").collect()} == small and len(small) == 60
+    (tmp_path / "up/a").mkdir(parents=True)
+    (tmp_path / "up/a/x.txt").write_text("1")
+    (tmp_path / "up/y.txt").write_text("22")
+    store = io.ensure_folder(spark, f"file://{tmp_path}/store")
+    assert io.sync_up(spark, str(tmp_path / "up"), store) == ["a/x.txt", "y.txt"] and io.sync_up(spark, str(tmp_path / "up"), store) == []
+    assert [k for k in io.list_keys(spark, store) if not k.startswith(".") and "/." not in k] == ["a/x.txt", "y.txt"] and io.list_keys(spark, f"{store}/none") == []
+    io.download_file(spark, f"{store}/y.txt", str(tmp_path / "back.txt"))
+    assert (tmp_path / "back.txt").read_text() == "22"
+
+
+def test_tokens_of_a_tokenizer(spark):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    from loomline.operators.tokens import token_count
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["a few words", None, "", "it's 2024"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    known = Tokenizer.from_file(path)
+    assert {r.i: r.n for r in df.select("i", token_count(F.col("t"), path).alias("n")).collect()} == {i: len(known.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
+def test_short_questions(spark):
+    """Questions of one or two tokens, also of one or two characters, are found as substrings."""
+    from loomline.operators import decontam
+
+    docs = spark.createDataFrame([(1, "the cat sat"), (2, "Concatenate this"), (3, "x y"), (4, None), (5, "a long enough question of many words stands here")], "i int, t string")
+    ask = lambda *q: sorted(r.i for r in decontam.holding(docs, F.col("t"), spark.createDataFrame([(x,) for x in q], "text string")).collect())
+    assert ask("cat") == [1, 2] and ask("e cat") == [1] and ask("y") == [3, 5] and ask("", "!") == []
+    assert ask("enough question of many words", "x Y") == [3, 5]
 
 
 def test_catalog_and_mirrors(spark, tmp_path):

@@ -26,8 +26,14 @@ def test_run_resumes_and_splits(spark, tmp_path):
         rows = out[name]
         assert rows.groupBy("key").agg(F.countDistinct("side").alias("s")).filter("s > 1").isEmpty()
     kept = out["unique"].count()
-    again = run.curate(spark, {"documents": raw["documents"].limit(0)}, [Source("x", "limo", "math")], benchmark, root, settings())
-    assert again["unique"].count() == kept
+    sources = [Source("conversations", "messages", "chat")]
+    again = run.curate(spark, {"documents": raw["documents"].limit(0)}, sources, benchmark, root, settings())
+    assert again["unique"].count() == kept, "what was written with these settings is taken"
+    gates = run.finish(spark, again, sources, root, settings())
+    assert gates.passed and gates.results["objects"] and set(gates.results) == {"decontamination", "clipped share", "domain shares", "licences", "objects"}
+    assert (tmp_path / "CARD.md").read_text().startswith("# Curated corpus") and (tmp_path / "manifests/mixture.json").exists()
+    with pytest.raises(ValueError):
+        run.curate(spark, {"documents": raw["documents"].limit(0)}, sources, benchmark, root, settings(seed=7))
 
 
 def test_gate_fails_on_empty_and_on_leaks(spark, tmp_path):
