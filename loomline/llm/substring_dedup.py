@@ -60,8 +60,8 @@ class Plan:
     gram: int = 8
     #: Words of the stretches whose subtrees a task holds at a time.
     batch_words: int = 1 << 20
-    #: Stretches of a group (some 60 words each) that still fit in such a batch, a quarter of it.
-    hot: int = 4_000
+    #: Stretches of a group (some 60 words each) that still fit in such a batch.
+    hot: int = 16_000
 
 
 def byte_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
