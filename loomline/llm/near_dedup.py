@@ -19,9 +19,13 @@ pairs are made.  First each member is compared with one pivot, the member that
 shares most buckets with others: of many edits of a text that is the text
 itself or the least edited one.  Links are joined into components, and a bucket
 whose members lie in one class is done.  In the others, members of different
-classes are paired if 320 further samples say that they may be links, and these
-pairs are verified like the first.  So links that would join two classes are
-found too, and a group of many copies makes few pairs.
+classes are paired if 320 further samples say that they may be links and their
+profiles allow it: the weights of a text's shingles, summed by groups of the
+shingles' hashes.  Two texts have at most the lesser weight of each group in
+common, so no link is lost by this, and of texts that are alike but under the
+threshold few pairs are made.  These pairs are verified like the first.  So
+links that would join two classes are found too, and a group of many copies
+makes few pairs.
 
 Defined results: null and empty texts are alone in their class; texts without
 a word are equal only to the same text; very long texts are compared whole; a
@@ -46,6 +50,9 @@ from .components import components
 #: Buckets of the table of document frequencies: its size is fixed.
 SKETCH_BITS = 18
 
+#: Least and greatest number of groups of a profile, as powers of two.
+PROFILE_BITS = (6, 12)
+
 
 @dataclass(frozen=True)
 class Plan:
@@ -123,6 +130,12 @@ def weighted_shingles(words: np.ndarray, frequencies: Frequencies, size: int) ->
     return unique, (count * (1 + frequencies.of(unique))).astype(np.float32)
 
 
+def profile(shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Weights of a text by group of its shingles' hashes; about as many groups as it weighs, a power of two."""
+    groups = 1 << int(np.clip(np.ceil(np.log2(weights.sum(dtype=np.float64))), *PROFILE_BITS))
+    return np.bincount((shingles & np.uint64(groups - 1)).astype(np.int64), weights, groups).astype(np.float32)
+
+
 class Sampler:
     """Improved consistent weighted sampling, a sample for all texts of a block at a time.
 
@@ -244,7 +257,7 @@ def _texts(docs: DataFrame, nodes: DataFrame, text: str, key: str) -> DataFrame:
 
 
 def fine_sketches(texts: DataFrame, frequencies, plan: Plan) -> DataFrame:
-    """(node, sketch): four bits of each of ``fine`` further samples, 16 to a long."""
+    """(node, sketch, profile); sketch: four bits of each of ``fine`` further samples, 16 to a long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(plan.fine, plan.seed + 1)
@@ -259,9 +272,10 @@ def fine_sketches(texts: DataFrame, frequencies, plan: Plan) -> DataFrame:
                 names = sampler(np.concatenate([sets[i][0] for i in some]), np.concatenate([sets[i][1] for i in some]), np.cumsum(size) - size)
                 nibbles = (mix64(names.astype(np.uint64)) >> np.uint64(60)).T.reshape(len(some), -1, 16)
                 packed = (nibbles << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(run_of)).take(pa.array(some)), pa.array(list(packed.view(np.int64)), pa.list_(pa.int64()))], ["node", "sketch"])
+                profiles = pa.array([profile(*sets[i]) for i in some], pa.list_(pa.float32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(run_of)).take(pa.array(some)), pa.array(list(packed.view(np.int64)), pa.list_(pa.int64())), profiles], ["node", "sketch", "profile"])
 
-    return texts.select("node", "text").mapInArrow(tidy(run), "node binary, sketch array<long>")
+    return texts.select("node", "text").mapInArrow(tidy(run), "node binary, sketch array<long>, profile array<float>")
 
 
 def _differing(a: str, b: str, longs: int) -> str:
@@ -274,6 +288,15 @@ def _differing(a: str, b: str, longs: int) -> str:
     return " + ".join(each)
 
 
+def _common_at_most(a: str, b: str) -> str:
+    """SQL: a bound of the weight that two texts have in common, by their profiles.
+    Weights within the threshold give equal numbers of groups or one twice the other, which is folded."""
+    least = lambda x, y: f"aggregate(zip_with({x}, {y}, (p, q) -> least(p, q)), 0D, (s, v) -> s + v)"
+    half = lambda x: f"shiftright(size({x}), 1)"
+    folded = lambda x: f"zip_with(slice({x}, 1, {half(x)}), slice({x}, {half(x)} + 1, {half(x)}), (p, q) -> p + q)"
+    return f"CASE WHEN size({a}) = size({b}) THEN {least(a, b)} WHEN size({a}) > size({b}) THEN {least(folded(a), b)} ELSE {least(a, folded(b))} END"
+
+
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", plan: Plan = Plan()) -> DataFrame:
     """A row for each row of ``docs``: id and class_id, the least id of its class."""
     spark = docs.sparkSession
@@ -304,12 +327,14 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", plan: Plan
         some = apart.select("node").distinct()
         sketches = written(fine_sketches(texts.join(some, "node", "left_semi"), shared, plan), "fine-sketches")
         rows = written(apart.join(sketches, "node").join(nodes.select("node", "bands"), "node"), "sketched-members")
-        other = rows.select(F.col("band").alias("o_band"), *(F.col(c).alias(f"o_{c}") for c in ("node", "weight", "component", "sketch", "bands")))
+        other = rows.select(F.col("band").alias("o_band"), *(F.col(c).alias(f"o_{c}") for c in ("node", "weight", "component", "sketch", "profile", "bands")))
         most = int(plan.fine * (1 - plan.fine_least) * 15 / 16)
         close = F.expr(f"{_differing('sketch', 'o_sketch', plan.fine // 16)} <= {most}")
         across = (F.col("node") < F.col("o_node")) & (F.col("component") != F.col("o_component")) & like(F.col("weight"), F.col("o_weight")) & close
         # a pair is made in the first band it shares; in a bucket of two it was compared already
         across = across & (F.array_min(F.array_intersect("bands", "o_bands")) == F.col("band"))
+        # the similarity is the common weight over the rest of both weights; single precision is allowed for
+        across = across & (F.expr(_common_at_most("profile", "o_profile")) * (1 + plan.threshold) >= plan.threshold * (F.col("weight") + F.col("o_weight")) * (1 - 1e-5))
         more = rows.join(other, (F.col("band") == F.col("o_band")) & across).select(F.col("node").alias("a"), F.col("o_node").alias("pivot")).distinct()
         more = written(_verified(more, texts, shared, plan), "near-links")
         if not more.isEmpty():

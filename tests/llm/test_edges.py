@@ -103,6 +103,50 @@ def test_near_dedup_group_of_edits(spark):
     assert all(got[i] == i for i in range(160) if i not in linked)
 
 
+def test_near_dedup_alike_but_apart_makes_few_pairs(spark, monkeypatch):
+    """Texts with a long part in common and an end of their own, nearly all under the threshold: no link is lost, few pairs are made."""
+    common, n = prose(150, 9), 120
+    rows = [(i, f"{common} " + " ".join(f"x{i}y{k}" for k in range(14))) for i in range(n)]
+    rows += [(n + i, rows[i][1] + " end") for i in range(0, n, 40)]
+    n = len(rows)
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    frequencies = near_dedup.shingle_frequencies(docs)
+    sets = [near_dedup.weighted_shingles(near_dedup.lower_words([t])[0], frequencies, 5) for _, t in rows]
+    links = [(a, b) for a in range(n) for b in range(a) if near_dedup.weighted_jaccard(sets[a], sets[b]) >= 0.8]
+    made, verify = [], near_dedup._verified
+
+    def counted(pairs, *rest):
+        made.append(pairs.count())
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(near_dedup, "_verified", counted)
+    got = {r.id: r.class_id for r in near_dedup.classes(docs).collect()}
+    assert links and all(got[a] == got[b] for a, b in links)
+    linked = {x for pair in links for x in pair}
+    assert all(got[i] == i for i in range(n) if i not in linked)
+    assert len(made) == 2 and made[1] <= n, made
+
+
+def test_profiles_bound_the_common_weight(spark):
+    """For sets that share much or little, short and long, with as many groups or twice as many."""
+    rng, rows = np.random.default_rng(2), []
+    for size in (1, 3, 40, 63, 64, 65, 200, 520, 3000, 9000):
+        for share in (0.0, 0.5, 0.9, 1.0):
+            a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[: int(size * share)], rng.integers(0, 1 << 63, size - int(size * share), dtype=np.uint64)]))
+            x, y = (a, rng.uniform(1, 2, len(a)).astype("f4")), (b, rng.uniform(1, 2, len(b)).astype("f4"))
+            y = (y[0], (y[1] * (x[1].sum() / y[1].sum() * rng.uniform(0.81, 1.24))).astype("f4"))
+            common = np.intersect1d(a, b, return_indices=True)
+            rows.append(([float(v) for v in near_dedup.profile(*x)], [float(v) for v in near_dedup.profile(*y)], float(np.minimum(x[1][common[1]], y[1][common[2]]).sum(dtype="f8")), float(x[1].sum())))
+    assert {len(a) / len(b) for a, b, *_ in rows} == {0.5, 1.0, 2.0}
+    table = spark.createDataFrame(rows, "a array<float>, b array<float>, common double, weight double")
+    got = table.withColumn("most", F.expr(near_dedup._common_at_most("a", "b"))).collect()
+    assert len(got) == len(rows) and all(r.common <= r.most * (1 + 1e-6) for r in got)
+    # texts of up to some thousand shingles that have nothing in common are told apart
+    assert all(r.most < 0.8 * r.weight for r in got if not r.common and 64 <= r.weight < 3000)
+
+
 def test_sampling_estimates_weighted_similarity():
     rng = np.random.default_rng(5)
     s = near_dedup.Sampler(4000, 1)
