@@ -128,6 +128,25 @@ def test_near_dedup_alike_but_apart_makes_few_pairs(spark, monkeypatch):
     assert len(made) == 2 and made[1] <= n, made
 
 
+def test_pipeline_stage_alike_but_apart(spark, monkeypatch):
+    """The stage keeps all texts that are alike but under the threshold, drops later ones of links, and makes few pairs."""
+    import corpus_pipeline
+
+    common, n = prose(150, 9), 60
+    rows = [(i, f"{common} " + " ".join(f"x{i}y{k}" for k in range(14)), 7) for i in range(n)]
+    rows += [(n + i, rows[i][1] + " end", 7) for i in range(0, n, 20)]
+    made, verify = [], near_dedup._verified
+
+    def counted(pairs, *rest):
+        made.append(pairs.count())
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(near_dedup, "_verified", counted)
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, n_chars int"), "")
+    assert kept.columns == ["doc_id", "text", "n_chars"] and sorted(r.doc_id for r in kept.collect()) == list(range(n))
+    assert len(made) == 2 and made[1] <= len(rows), made
+
+
 def test_profiles_bound_the_common_weight(spark):
     """For sets that share much or little, short and long, with as many groups or twice as many."""
     rng, rows = np.random.default_rng(2), []
