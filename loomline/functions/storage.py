@@ -25,9 +25,17 @@ def shared_dir(spark: SparkSession, what: str) -> str:
     return f"{_base(spark)}/{what}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
+#: Rows of a narrow table that go to a file, where their number is known beforehand.
+ROWS_A_FILE = 1 << 16
+
+
+def written(df: DataFrame, what: str, rows: int | None = None) -> DataFrame:
     """``df`` written as Parquet to shared storage and read back: a cut of the
-    lineage that survives lost executors and is computed once."""
+    lineage that survives lost executors and is computed once.  ``rows``, the most
+    that a narrow table made of others of that size can have, keeps a small one in
+    few files: on a local disk, Hadoop starts two processes for every file."""
+    if rows is not None:
+        df = df.coalesce(1 + rows // ROWS_A_FILE)
     path = shared_dir(df.sparkSession, what)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import as_id, blocks, fresh, lower_words, mix64, small_batches, tidy, written
-from .components import components
+from .components import components, joined_further
 
 #: Buckets of the table of document frequencies: its size is fixed.
 SKETCH_BITS = 18
@@ -240,7 +240,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, frequencies, plan: Plan) -> Da
                 cols = list(zip(*out, strict=True)) or [[]] * 3
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.binary(), pa.binary(), pa.float64()), strict=True)], ["a", "b", "similarity"])
 
-    return held.mapInArrow(tidy(run), "a binary, b binary, similarity double")
+    return _few_files(held.mapInArrow(tidy(run), "a binary, b binary, similarity double"))
+
+
+def _few_files(df: DataFrame) -> DataFrame:
+    """``df``, a narrow table that a larger stage makes, dealt to a part for each core before it is written."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, text: str, key: str) -> DataFrame:
@@ -307,13 +312,13 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", plan: Plan
     nodes = signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("rep"), F.first("weight").alias("weight"), F.first("bands").alias("bands"))
     in_band = nodes.select("node", "rep", "weight", F.explode("bands").alias("band"))
     # what is joined by band is written first: adaptive execution can then split a band that many hold
-    full = written(in_band.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
+    full = written(_few_files(in_band.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")), "buckets")
     members = written(in_band.join(full, "band"), "bucket-members")
     # a bound that holds exactly: the weights of two texts differ at most by the similarity
     like = lambda x, y: F.least(x, y) >= plan.threshold * F.greatest(x, y) * (1 - 1e-6)
     # the pivot of a bucket is its member with the most company over all its buckets: the least edited copy
     company = members.groupBy("node").agg(F.sum("n").alias("company"))
-    pivots = written(members.join(company, "node").groupBy("band").agg(F.max(F.struct("company", "node", "weight")).alias("p")), "pivots")
+    pivots = written(_few_files(members.join(company, "node").groupBy("band").agg(F.max(F.struct("company", "node", "weight")).alias("p"))), "pivots")
     pairs = members.join(pivots, "band").filter((F.col("node") != F.col("p.node")) & like(F.col("weight"), F.col("p.weight")))
     pairs = pairs.select(F.col("node").alias("a"), F.col("p.node").alias("pivot")).distinct()
     texts = _texts(docs, members.select("node", "rep").distinct(), text, key)
@@ -322,7 +327,7 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", plan: Plan
     # buckets whose members still lie apart: all pairs across classes whose sketches say they may be links
     now = members.select("band", "node", "weight").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = now.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).filter("x <> y AND n > 2").select("band")
-    apart = written(now.join(written(mixed, "mixed"), "band"), "mixed-buckets")
+    apart = written(now.join(written(_few_files(mixed), "mixed"), "band"), "mixed-buckets")
     if not apart.isEmpty():
         some = apart.select("node").distinct()
         sketches = written(fine_sketches(texts.join(some, "node", "left_semi"), shared, plan), "fine-sketches")
@@ -338,7 +343,7 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", plan: Plan
         more = rows.join(other, (F.col("band") == F.col("o_band")) & across).select(F.col("node").alias("a"), F.col("o_node").alias("pivot")).distinct()
         more = written(_verified(more, texts, shared, plan), "near-links")
         if not more.isEmpty():
-            joined = components(links.unionByName(more))
+            joined = joined_further(joined, more)
     of_class = joined.join(nodes.select("node", "rep"), "node").select("component", "rep")
     heads = nodes.select(F.col("node").alias("component"), "rep")
     ids = of_class.unionByName(heads.join(joined.select("component").distinct(), "component")).groupBy("component").agg(F.min("rep").alias("class"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomline.llm import decontamination, language_id, near_dedup, packing, pii, quality_rules, substring_dedup, token_counts, url_filters, warc
 from loomline.llm._common import fresh, shared_dir, span_hashes, written
-from loomline.llm.components import components
+from loomline.llm.components import components, joined_further
 from loomline.llm.tokens import WordTokenizer, default_path
 
 WORDS = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
@@ -185,6 +185,67 @@ def test_components(spark):
     assert got == {(i, 0) for i in range(1, 31)} | {(101, 100), (102, 100)}
 
 
+@pytest.fixture
+def many_parts(spark):
+    """Shuffles of 23 parts that are not put together, as in a large job."""
+    conf = {"spark.sql.shuffle.partitions": "23", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield conf
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def parts_of(spark, kinds):
+    """Part files of the tables of these kinds in the shared folder, by folder."""
+    from pathlib import Path
+
+    from loomline.functions.storage import _base
+
+    return {d.name: len(list(d.glob("part-*"))) for d in Path(_base(spark).removeprefix("file://")).glob("*") if d.name.rpartition("-")[0] in kinds}
+
+
+def test_components_of_few_links_write_few_files(spark, many_parts):
+    kinds = {"links", "least", "components"}
+    known = parts_of(spark, kinds)
+    rng = random.Random(4)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)]
+    least = list(range(400))
+    for _ in range(400):
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    want = {(i, c) for i, c in enumerate(least) if i != c}
+    first, further = (spark.createDataFrame(x, "a long, b long") for x in (links[:200], links[200:]))
+    got = [(r.node, r.component) for r in joined_further(components(first), further).collect()]
+    assert len(got) == len(want) and set(got) == want
+    made = {d: n for d, n in parts_of(spark, kinds).items() if d not in known}
+    assert made and max(made.values()) == 1
+    # links that are stars already need no round
+    known |= made
+    assert {(r.node, r.component) for r in components(spark.createDataFrame([(0, 3), (2, 0), (5, 4)], "a long, b long")).collect()} == {(2, 0), (3, 0), (5, 4)}
+    assert len(parts_of(spark, kinds)) == len(known) + 1
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_near_dedup_writes_few_files_of_few_links(spark, many_parts):
+    kinds = {"near-links", "links", "least", "components", "buckets", "pivots", "mixed"}
+    known = parts_of(spark, kinds)
+    rng = random.Random(12)
+    rows = []
+    for g in range(40):
+        text = prose(160, 500 + g).split()
+        for _ in range(3):
+            edited = list(text)
+            edited[rng.randrange(160)] = "edited"
+            rows.append((len(rows), " ".join(edited)))
+    got = {r.id: r.class_id for r in near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(set(got.values())) < 60  # most texts are linked
+    made = {d: n for d, n in parts_of(spark, kinds).items() if d not in known}
+    assert {d.rpartition("-")[0] for d in made} >= {"near-links", "links", "buckets", "pivots"}
+    assert max(made.values()) <= spark.sparkContext.defaultParallelism
+
+
 def test_substring(spark, odd):
     shared = prose(40, 77)
     more = spark.createDataFrame([(20, f"{prose(10, 3)} {shared} {prose(5, 4)}", "x"), (21, f"{prose(3, 5)}\n{shared}", "x"), (22, "a " * 80, "x")], "doc_id long, text string, lang string")
