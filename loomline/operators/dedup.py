@@ -43,6 +43,11 @@ def shingle_set(body: Column, n: int = 5) -> Column:
     return bound(F.lower(body), lambda low: bound(words(low), lambda tokens: shingles(low, tokens, n)))
 
 
+def shingle_counts(body: Column) -> Column:
+    """struct<n, least> of a text's distinct shingles, made in its row: none is moved or sorted."""
+    return bound(shingle_set(body), lambda g: F.struct(F.size(g).cast("long").alias("n"), F.array_min(g).alias("least")))
+
+
 def shingle_hash(shingle: Column) -> Column:
     """The first 31 bits of a shingle's MD5, modulo the prime."""
     return F.pmod(F.shiftright(F.conv(F.substring(F.md5(shingle), 1, 8), 16, 10).cast("long"), 1), F.lit(PRIME))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import WHITE, count_of, plain_ascii, prose_parts, strip, text, think_parts, unit_hash, words
+from ..functions.text import WHITE, count_of, once, plain_ascii, prose_parts, strip, text, think_parts, unit_hash, words
 from ..functions.storage import cut, shared_dir
 from ..operators import decontam, dedup, mix, normalize, quality, reasoning, render, split, validate
 from ..sources import io
@@ -350,8 +350,10 @@ def dedup_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_SETS} SELECT doc_id, count(*) AS n_shingles, min(g) AS least FROM s GROUP BY doc_id")
 def shingle_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = _distinct_bodies(spark, sf_dir).select("doc_id", F.explode(dedup.shingle_set(F.col("body"))).alias("g"))
-    return at.groupBy("doc_id").agg(F.count("*").alias("n_shingles"), F.min("g").alias("least"))
+    # copies are counted too: counts are much narrower than texts, so no text is moved or sorted
+    at = _bodies(spark, sf_dir).select(*_BY, dedup.exact_key(F.col("body")).alias("_key"), once(dedup.shingle_counts(F.col("body"))).alias("s"))
+    first = dedup.first_of_each(at, ["_key"], _BY).filter("s.n > 0")
+    return first.groupBy("doc_id").agg(F.sum("s.n").alias("n_shingles"), F.min("s.least").alias("least"))
 
 
 def _distinct_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:

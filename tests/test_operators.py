@@ -1,9 +1,12 @@
 """Operators against small serial models and edge cases."""
 
 import json
+import os
 import random
+import shutil
 
 import pytest
+from conftest import same
 from pyspark.sql import functions as F
 
 from loomline.functions.text import last_boxed, prose_parts, think_parts
@@ -73,6 +76,27 @@ def test_quality_bounds(spark):
     assert not kept("```", "code") and kept("```") and kept("a", "code", "```") and not kept("  ")
 
 
+def odd_documents(spark, folder):
+    """Copies in other letters, short texts, blanks, empty and missing texts, and a text of one shingle again and again."""
+    texts = ["One two three four five six", "one TWO three four five six", "Ab cd", "aB cD", " ", "", None, "?!", "x " * 5000, "Ünï ß x y z w", " ".join(map(str, range(9000)))]
+    rows = [(i, t, "en", f"src{i % 9}", len(t or "")) for i, t in enumerate(texts * 2)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"file://{folder}/new")
+    os.rename(next((folder / "new").glob("*.parquet")), folder / "documents.parquet")
+    shutil.rmtree(folder / "new")
+    return str(folder)
+
+
+def test_shingle_stats_moves_no_text(spark, tmp_path):
+    from loomline.plans.catalog import QUERIES, SQL
+
+    df = QUERIES["shingle_stats"](spark, odd_documents(spark, tmp_path))
+    assert same(df.collect(), SQL["shingle_stats"], str(tmp_path))
+    # shingles are never rows, and the text ends below the first sort
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.split("\n") if "Generate" in line or "Window [" in line]
+    assert sorts and not any("Generate" in line or "body" in line for line in sorts)
+
+
 def serial_keep(edges, n):
     kept = []
     for i in range(n):
