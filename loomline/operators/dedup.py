@@ -12,7 +12,8 @@ import random
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,34 +54,61 @@ def shingle_hash(shingle: Column) -> Column:
     return F.pmod(F.shiftright(F.conv(F.substring(F.md5(shingle), 1, 8), 16, 10).cast("long"), 1), F.lit(PRIME))
 
 
+#: Hashes that one numpy pass handles together, wherever texts begin and end.
+PIECE = 1 << 16
+
+
+def minima(lists: pa.ListArray, family: list[tuple[int, int]], piece: int = PIECE) -> pa.ListArray:
+    """Per list of hashes its minima under the family; null for a list without any."""
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    some = size > 0
+    ends = np.cumsum(size[some], dtype=np.int64)
+    first = ends - size[some]
+    values = lists.flatten().to_numpy(zero_copy_only=False)
+    found = np.full((len(ends), len(family)), PRIME, np.int32)
+    for at in range(0, len(values), piece):
+        x = values[at : at + piece].astype(np.int64)
+        lo, hi = np.searchsorted(ends, at, "right"), np.searchsorted(first, at + len(x))
+        starts, rows = np.maximum(first[lo:hi] - at, 0), found[lo:hi]
+        for j, (a, b) in enumerate(family):
+            rows[:, j] = np.minimum(rows[:, j], np.minimum.reduceat((a * x + b) % PRIME, starts))
+    offsets = np.concatenate([[0], np.cumsum(some * len(family))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.reshape(-1)), mask=pa.array(~some))
+
+
 def signature(hashes: Column, n: int = BANDS * ROWS) -> Column:
-    """Minima of the hash family over the hashes of a text's shingles; null for a text without any."""
+    """Minima of the hash family over the hashes of a text's shingles; null for a text without any.
+
+    Spark ends a batch at 10000 rows or 64 MB (its defaults), and Python reads it
+    where it lies, a piece at a time, so a worker's memory doesn't follow the table.
+    """
     family = permutations(n)
 
-    @F.pandas_udf("array<bigint>")
-    def minima(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for series in batches:
-            size = np.array([0 if x is None else len(x) for x in series])
-            some = np.flatnonzero(size)
-            out = [None] * len(series)
-            if len(some):
-                x = np.concatenate([series.iloc[i] for i in some]).astype(np.int64)
-                first = np.cumsum(size[some]) - size[some]
-                found = np.stack([np.minimum.reduceat((a * x + b) % PRIME, first) for a, b in family], axis=1)
-                for i, row in zip(some, found, strict=True):
-                    out[i] = row
-            yield pd.Series(out)
+    @F.arrow_udf("array<int>")
+    def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for lists in batches:
+            yield minima(lists, family)
 
     # so marked, it is neither moved into filters nor run twice
-    return minima.asNondeterministic()(hashes)
+    return made.asNondeterministic()(hashes)
 
 
 def signed(df: DataFrame, body: str, out: str) -> DataFrame:
     """``df`` with the signature of the text in column ``body``."""
-    hashed = df.withColumn(out, once(F.transform(shingle_set(F.col(body)), shingle_hash)))
+    hashed = df.withColumn(out, once(F.transform(shingle_set(F.col(body)), lambda g: shingle_hash(g).cast("int"))))
     return hashed.withColumn(out, signature(F.col(out)))
 
 
+def signed_firsts(df: DataFrame, body: Column, order: list, out: str) -> DataFrame:
+    """(_key, the columns of ``order``, signature) of the first record of each distinct text.
+
+    Copies are signed too: a signature is much narrower than a text, so no text
+    is moved or sorted.
+    """
+    keyed = df.select(exact_key(body).alias("_key"), body.alias("_body"), *_names(order))
+    return first_of_each(signed(keyed, "_body", out).drop("_body"), ["_key"], order)
+
+
 def bands(values: Column) -> Column:
     """One key per band: its number and the MD5 of its minima."""
     return F.transform(
@@ -130,7 +158,7 @@ def near_duplicates(df: DataFrame, body: Column, order: list) -> DataFrame:
     Copies share a signature, so they are decided with their first one.
     """
     keyed = df.withColumn("_key", exact_key(body))
-    first = signed(first_of_each(keyed.select("_key", body.alias("_body"), *_names(order)), ["_key"], order), "_body", "s")
+    first = signed_firsts(df, body, order, "s")
     # the priority number orders nodes; it is a struct, so no global sort is needed
     node = cut(first.select("_key", F.struct(*_names(order)).alias("node"), "s"))
     members = cut(node.filter("s IS NOT NULL").select("node", F.explode(bands(F.col("s"))).alias("bucket")))

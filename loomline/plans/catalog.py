@@ -356,13 +356,8 @@ def shingle_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.groupBy("doc_id").agg(F.sum("s.n").alias("n_shingles"), F.min("s.least").alias("least"))
 
 
-def _distinct_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = _bodies(spark, sf_dir).withColumn("_key", dedup.exact_key(F.col("body")))
-    return dedup.first_of_each(at, ["_key"], _BY).drop("_key")
-
-
 def _signed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cut(dedup.signed(_distinct_bodies(spark, sf_dir), "body", "sig").select(*_BY, "sig")).filter("sig IS NOT NULL")
+    return cut(dedup.signed_firsts(_bodies(spark, sf_dir), F.col("body"), _BY, "sig").select(*_BY, "sig")).filter("sig IS NOT NULL")
 
 
 @query(f"WITH {_SIGNED} SELECT doc_id, array_to_string(sig, ',') AS signature FROM m")

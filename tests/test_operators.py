@@ -97,6 +97,52 @@ def test_shingle_stats_moves_no_text(spark, tmp_path):
     assert sorts and not any("Generate" in line or "body" in line for line in sorts)
 
 
+def test_minima_in_pieces():
+    import pyarrow as pa
+
+    rng = random.Random(7)
+    family = dedup.permutations(6)
+    lists = [[rng.randrange(dedup.PRIME) for _ in range(n)] for n in (3, 0, 1, 40, 8, 8, 0, 5)] + [None, [0, dedup.PRIME - 1], []]
+    want = [[min((a * x + b) % dedup.PRIME for x in v) for a, b in family] if v else None for v in lists]
+    for piece in (1, 2, 7, 8, 16, 1 << 16):
+        assert dedup.minima(pa.array(lists, pa.list_(pa.int32())), family, piece).to_pylist() == want
+    assert dedup.minima(pa.array([[], None], pa.list_(pa.int32())), family).to_pylist() == [None, None]
+
+
+def test_memory_of_minima_is_that_of_a_piece():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    def most(texts):
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, texts + 1, dtype=np.int32) * 20000), pa.array(np.arange(texts * 20000, dtype=np.int32)))
+        tracemalloc.start()
+        dedup.minima(lists, dedup.permutations(2))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return peak
+
+    assert most(200) < 1.2 * most(20) < 4e6
+
+
+@pytest.mark.parametrize("name", ["minhash_signatures", "lsh_partners", "near_dedup_keep", "dedup_report"])
+def test_signatures_of_odd_texts(spark, tmp_path, name):
+    from loomline.plans.catalog import QUERIES, SQL
+
+    assert same(QUERIES[name](spark, odd_documents(spark, tmp_path)).collect(), SQL[name], str(tmp_path))
+
+
+def test_signing_moves_no_text(spark):
+    df = spark.createDataFrame([("a b c d e f", 1), ("A b c d e f", 2), ("x", 3), ("", 4)], "t string, i int")
+    signed = dedup.signed_firsts(df, F.col("t"), ["i"], "s")
+    plan = signed._jdf.queryExecution().executedPlan().toString().split("\n")
+    made = next(i for i, line in enumerate(plan) if "ArrowEvalPython" in line)
+    # the texts' signatures are made below the first exchange and the first sort
+    assert made > max(i for i, line in enumerate(plan) if "Exchange" in line or "Sort [" in line)
+    assert [(r.i, r.s is None) for r in sorted(signed.collect(), key=lambda r: r.i)] == [(1, False), (3, False), (4, True)]
+
+
 def serial_keep(edges, n):
     kept = []
     for i in range(n):
